@@ -1,0 +1,99 @@
+"""Compare registered queries with their SQL in DuckDB.
+
+    python -m tests.oracle_check [folder] [query ...]
+"""
+
+from __future__ import annotations
+
+import datetime as dt
+import decimal
+import glob
+import math
+import os
+import sys
+import time
+
+import duckdb
+
+DEFAULT_FOLDER = "/root/testdata/sf0.001"
+
+
+def _cell(value):
+    if value is None:
+        return None
+    if hasattr(value, "item"):
+        value = value.item()
+    if isinstance(value, float):
+        return None if math.isnan(value) else round(value, 9)
+    if isinstance(value, decimal.Decimal):
+        return round(float(value), 9)
+    if isinstance(value, dt.datetime):
+        return value.replace(tzinfo=None).isoformat()
+    if isinstance(value, dt.date):
+        return value.isoformat()
+    return value
+
+
+def _rows(names, rows):
+    order = sorted(range(len(names)), key=lambda i: names[i])
+    return sorted(([_cell(r[i]) for i in order] for r in rows), key=repr), [names[i] for i in order]
+
+
+def connect(folder: str) -> duckdb.DuckDBPyConnection:
+    connection = duckdb.connect()
+    for path in glob.glob(f"{folder}/*.parquet"):
+        name = os.path.basename(path).removesuffix(".parquet")
+        connection.execute(f"CREATE VIEW {name} AS SELECT * FROM '{path}'")
+    return connection
+
+
+def compare(spark, connection, folder: str, query, sql: str) -> str | None:
+    """``None`` when equal, else what differs."""
+    frame = query(spark, folder)
+    ours, names = _rows(frame.columns, [tuple(r) for r in frame.collect()])
+    cursor = connection.execute(sql)
+    theirs, other = _rows([d[0] for d in cursor.description], cursor.fetchall())
+    if names != other:
+        return f"columns differ: only here {sorted(set(names) - set(other))}, only SQL {sorted(set(other) - set(names))}"
+    if len(ours) != len(theirs):
+        return f"{len(ours)} rows here, {len(theirs)} in SQL"
+    if any(type(a) is not type(b) and None not in (a, b) for r, s in zip(ours, theirs, strict=True) for a, b in zip(r, s, strict=True)):
+        for r, s in zip(ours, theirs, strict=True):
+            for n, a, b in zip(names, r, s, strict=True):
+                if type(a) is not type(b) and None not in (a, b):
+                    return f"type of {n}: {a!r} here, {b!r} in SQL"
+    wrong = {}
+    for r, s in zip(ours, theirs, strict=True):
+        for n, a, b in zip(names, r, s, strict=True):
+            if a != b:
+                wrong.setdefault(n, (0, a, b, r, s))
+                wrong[n] = (wrong[n][0] + 1, *wrong[n][1:])
+    if wrong:
+        return "; ".join(f"{n}: {c} differ, e.g. {a!r} vs {b!r}" for n, (c, a, b, _, _) in wrong.items())[:1500]
+    return None
+
+
+def main() -> int:
+    sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    from __spark_entry__ import oracle_sql, queries
+    from tidemark.session import build_session
+
+    arguments = sys.argv[1:]
+    folder = arguments.pop(0) if arguments and arguments[0].startswith("/") else DEFAULT_FOLDER
+    spark = build_session()
+    spark.sparkContext.setLogLevel("ERROR")
+    connection, registered, sql = connect(folder), queries(), oracle_sql()
+    failures = 0
+    for name in arguments or registered:
+        begin = time.time()
+        try:
+            problem = compare(spark, connection, folder, registered[name], sql[name])
+        except Exception as error:  # noqa: BLE001
+            problem = f"{type(error).__name__}: {str(error)[:900]}"
+        failures += problem is not None
+        print(f"{name:22s} {time.time() - begin:6.1f}s {'ok' if problem is None else 'DIFFERENT ' + problem}", flush=True)
+    return failures
+
+
+if __name__ == "__main__":
+    sys.exit(main())

@@ -99,7 +99,7 @@ def run_scorer(batches: DataFrame, scorer: Scorer) -> DataFrame:
             answers = []
             for text, rows in zip(frame["text"], frame["rows"], strict=True):
                 try:
-                    answers.append(scorer(text, [dict(r) for r in rows]))
+                    answers.append(scorer(text, [r if isinstance(r, dict) else r.asDict() for r in rows]))
                 except Exception:  # noqa: BLE001 - any failure leaves the batch for the next run
                     answers.append(None)
             yield pd.DataFrame({"batch_id": frame["batch_id"], "response": answers})
@@ -158,7 +158,7 @@ def parse_scores(
             "batch_id",
             F.posexplode(F.regexp_extract_all("content", F.lit(_OBJECT), F.lit(0))).alias("place", "line"),
         )
-        .select("batch_id", "place", _as_object(F.regexp_replace("line", r"[\r\n]+", " ")).alias("object"))
+        .select("batch_id", "place", _as_object(F.col("line")).alias("object"))
         .filter(F.col("object").isNotNull())
     )
     parsed = by_line.unionByName(_matched(anywhere, requests))
