@@ -39,8 +39,8 @@ def expand_days(
     interval it lies outside of. ``gaps=True`` also drops days the calendar does
     not list.
     """
-    first_day = calendar.agg(F.min("date")).scalar()
-    last_day = calendar.agg(F.max("date")).scalar()
+    bounds = calendar.agg(F.struct(F.min("date").alias("first"), F.max("date").alias("last")).alias("b")).scalar()
+    first_day, last_day = bounds["first"], bounds["last"]
     bounded = df.withColumn("_from", F.greatest(F.col(start), first_day)).withColumn(
         "_until",
         F.least(*[F.col(e) for e in ends], F.date_add(last_day, 1),

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -51,7 +52,11 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` to the checkpoint folder once and go on from the files.
 
     Used where one frame feeds several branches of the same plan, so that it is
-    neither computed twice nor lost with an executor.
+    neither computed twice nor lost with an executor. A table and not an RDD
+    checkpoint, so that later reads are pruned to their columns and the planner
+    knows the size it may broadcast.
     """
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark)}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
