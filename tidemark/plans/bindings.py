@@ -7,6 +7,7 @@ the same derivations is in ``oracle.py``.
 from __future__ import annotations
 
 import datetime as dt
+import functools
 import json
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -19,7 +20,7 @@ from tidemark.operators.keys import latest_per_key
 from tidemark.operators.requests import FAVOURITE_CODES, NAME_EXTENSION, PHARMACY_NOTE, SNOMED_CODES, TEMPLATE_NOTE
 from tidemark.operators.scoring import CATEGORIES, Scorer
 from tidemark.sources.bundles import BUNDLE_SCHEMA
-from tidemark.sources.tables import load
+from tidemark.sources import tables
 
 PROTOCOLS = ("Weight Loss", "Mood, Stress & Sleep", "Testosterone")
 LISTING_FLOOR = dt.date(2024, 1, 2)
@@ -40,6 +41,12 @@ def events(spark: SparkSession, folder: str) -> DataFrame:
     return load(spark, folder, "events").withColumn("k", F.get_json_object("props", "$.k").cast("bigint"))
 
 
+@functools.lru_cache(maxsize=256)
+def load(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A benchmark table; its footer is read once per session."""
+    return tables.load(spark, folder, name)
+
+
 # --- weekly status of an entity ------------------------------------------------
 
 
