@@ -12,9 +12,13 @@ def ts(text):
 def rows(df, *order):
     """Rows as dicts, sorted by the given columns."""
     found = [r.asDict() for r in df.collect()]
-    return sorted(found, key=lambda r: tuple(repr(r[c]) for c in order)) if order else found
+    return sorted(found, key=lambda r: _key([r[c] for c in order])) if order else found
+
+
+def _key(values):
+    return tuple((v is not None, 0 if v is None else str(v) if isinstance(v, (list, bool)) else v) for v in values)
 
 
 def bag(df, *columns):
     """Rows as a sorted list of tuples."""
-    return sorted((tuple(r) for r in df.select(*(columns or df.columns)).collect()), key=repr)
+    return sorted((tuple(r) for r in df.select(*(columns or df.columns)).collect()), key=_key)

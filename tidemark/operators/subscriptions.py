@@ -215,12 +215,12 @@ def day_over_day_flags(
     there_before = F.count(F.when(known, 1)).over(same) > 0
     user = Window.partitionBy("admin_user_id").orderBy("date_day", "protocol", "start_date_pst", "uuid")
     user_protocol = Window.partitionBy("admin_user_id", "protocol").orderBy("date_day", "start_date_pst", "uuid")
-    return unique.withColumns(
+    # The user's own window first: its partitioning serves the finer ones.
+    return unique.withColumn("is_new_user", F.row_number().over(user) == 1).withColumns(
         {
             "cancelled_today": F.col("is_cancelled_today") & ~cancelled_before,
             "paused_today": F.col("is_paused") & ~paused_before,
             "is_new_subscription": known & ~there_before,
-            "is_new_user": F.row_number().over(user) == 1,
             "is_new_protocol_user": F.row_number().over(user_protocol) == 1,
             "is_past_renewal_date": exists(
                 F.col("date_day") > F.date_add(F.to_date("renewal_or_end_date"), GRACE_DAYS)
@@ -276,12 +276,17 @@ def protocol_transitions(active: DataFrame) -> DataFrame:
     )
 
 
-def period_to_date_flag(keys: Sequence[str], flag: str, period: str, order: Sequence[str]) -> Column:
+def period_start(day: str, period: str) -> Column:
+    """First day of the ``week`` (from Monday) or ``month`` the day lies in."""
+    return F.to_date(F.date_trunc("week", day)) if period == "week" else F.trunc(day, "month")
+
+
+def period_to_date_flag(keys: Sequence[str], flag: str, start: str, order: Sequence[str]) -> Column:
     """Whether ``flag`` was set on any row of the period so far (this row included).
 
-    ``period`` is ``week`` (from Monday) or ``month``.
+    ``start`` is the column with the first day of the period. It has to be a column
+    of its own: windows over the same expression would not share a partitioning.
     """
-    start = F.date_trunc("week", "date_day") if period == "week" else F.trunc("date_day", "month")
     so_far = (
         Window.partitionBy(*keys, start)
         .orderBy(*[F.col(c).asc_nulls_first() for c in order])
@@ -294,37 +299,25 @@ _DAY_ORDER = ["date_day", "protocol", "start_date_pst", "uuid"]
 _USER, _USER_PROTOCOL = ["admin_user_id"], ["admin_user_id", "protocol"]
 
 
-def first_time_period_flags(df: DataFrame) -> DataFrame:
-    """New-user and new-protocol-user flags carried through the week and month."""
-    return df.withColumns(
-        {
-            f"{flag}_this_{period}": period_to_date_flag(keys, flag, period, _DAY_ORDER)
-            for period in ("week", "month")
-            for flag, keys in (("is_new_user", _USER), ("is_new_protocol_user", _USER_PROTOCOL))
-        }
-    )
-
-
-def transition_period_flags(df: DataFrame) -> DataFrame:
-    """Reactivated, became and exited instalments: by user and by user and protocol."""
-    stems = {
-        "reactivated": "reactivated_today",
-        "became_bnpl": "became_bnpl_today",
-        "exited_bnpl": "exited_bnpl_today",
-    }
-    return df.withColumns(
-        {
-            f"{stem}_{who}_this_{period}": period_to_date_flag(keys, flag, period, _DAY_ORDER)
-            for period in ("week", "month")
-            for stem, flag in stems.items()
-            for who, keys in (("user", _USER), ("sub", _USER_PROTOCOL))
-        }
-    )
-
-
 def period_to_date(transitions: DataFrame) -> DataFrame:
-    """All sixteen period-to-date flags."""
-    return transition_period_flags(first_time_period_flags(transitions))
+    """All sixteen period-to-date flags.
+
+    New-user flags follow the user, new-protocol flags the user and protocol,
+    transitions both. Per period the windows of the user come first: rows
+    partitioned by (user, period) already serve those of (user, protocol, period),
+    which leaves one shuffle per period.
+    """
+    new = {"user": "is_new_user", "sub": "is_new_protocol_user"}
+    stems = ("reactivated", "became_bnpl", "exited_bnpl")
+    for period in ("week", "month"):
+        transitions = transitions.withColumn("_start", period_start("date_day", period))
+        for who, keys in (("user", _USER), ("sub", _USER_PROTOCOL)):
+            flags = {f"{new[who]}_this_{period}": new[who]}
+            flags |= {f"{stem}_{who}_this_{period}": f"{stem}_today" for stem in stems}
+            transitions = transitions.withColumns(
+                {name: period_to_date_flag(keys, flag, "_start", _DAY_ORDER) for name, flag in flags.items()}
+            )
+    return transitions.drop("_start")
 
 
 REPORT_COLUMNS = """
