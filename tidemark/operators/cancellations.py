@@ -19,6 +19,12 @@ FIRST_VALID_FROM = "1900-01-01 00:00:00"
 BUSINESS_ZONE = "America/Los_Angeles"
 
 
+def _relevant(events: DataFrame) -> DataFrame:
+    return events.filter(
+        F.col("event_type").isin(CANCELLED, UNCANCELLED) & F.col("product_name").isNotNull()
+    )
+
+
 def paired_events(events: DataFrame, segment: Column | None | str = "auto") -> DataFrame:
     """Reduce every run of equal events to one and name the event after it.
 
@@ -32,9 +38,7 @@ def paired_events(events: DataFrame, segment: Column | None | str = "auto") -> D
     one of them is large.
     """
     keys, order = ["admin_user_id", "product_name"], ["created_at", "version"]
-    kept = events.filter(
-        F.col("event_type").isin(CANCELLED, UNCANCELLED) & F.col("product_name").isNotNull()
-    )
+    kept = _relevant(events)
     if isinstance(segment, str):
         segment = segment_if_hot(kept, keys, F.to_date("created_at"))
 
@@ -61,7 +65,7 @@ def cancellation_timeline(
     """One row per effective cancellation with the interval it was in force."""
     keys, order = ["admin_user_id", "product_name"], ["created_at", "version"]
     if isinstance(segment, str):
-        segment = segment_if_hot(events, keys, F.to_date("created_at"))
+        segment = segment_if_hot(_relevant(events), keys, F.to_date("created_at"))
     cancels = (
         paired_events(events, segment)
         .filter(F.col("event_type") == CANCELLED)

@@ -108,8 +108,27 @@ def nearest_pauses(
         "start_date_pst",
         F.when(F.col("next_start_date_pst").isNull(), F.col("resumed_date_pst")),
     )
+    # Terms and pauses meet by month and not by user alone, so that a user with very
+    # many of both is split: a term that a pause lies in shares the month of its
+    # beginning (or, if it ends before it begins, one of the months between). A
+    # pair found twice does no harm to a maximum.
+    month = F.expr("INTERVAL 1 MONTH")
+    ends = F.greatest(F.col("start_date_pst"), F.coalesce("next_start_date_pst", "_last"))
+    terms = (
+        state.groupBy(*term)
+        .agg(F.max("date_day").alias("_last"))
+        .withColumn(
+            "_month",
+            F.explode(F.sequence(F.trunc("start_date_pst", "month"), F.trunc(ends, "month"), month)),
+        )
+        .drop("_last")
+    )
+    begins = F.trunc(F.least("paused_date_pst", "resumed_date_pst"), "month")
+    by_month = finished.withColumn(
+        "_month", F.explode(F.sequence(begins, F.trunc("paused_date_pst", "month"), month))
+    )
     marks = (
-        state.select(*term).distinct().join(finished, owner)
+        terms.join(by_month, [*owner, "_month"])
         .filter((F.col("paused_date_pst") >= F.col("start_date_pst")) & closed_in_time)
         .groupBy(*term, counts_from.alias("date_day"))
         .agg(F.max(F.struct(*values)).alias("_mark"))

@@ -20,6 +20,7 @@ from tidemark.operators.keys import latest_per_key
 from tidemark.operators.requests import FAVOURITE_CODES, NAME_EXTENSION, PHARMACY_NOTE, SNOMED_CODES, TEMPLATE_NOTE
 from tidemark.operators.scoring import CATEGORIES, Scorer
 from tidemark.sources.bundles import BUNDLE_SCHEMA
+from tidemark.session import cut_lineage
 from tidemark.sources import tables
 
 PROTOCOLS = ("Weight Loss", "Mood, Stress & Sleep", "Testosterone")
@@ -196,18 +197,26 @@ def cancel_events(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@functools.lru_cache(maxsize=64)
 def products(spark: SparkSession, folder: str) -> DataFrame:
     """Product names and their protocols."""
     numbers = events(spark, folder).select((F.col("k") % 3).alias("n")).distinct()
-    return numbers.select(
-        F.concat(F.lit("product_"), F.col("n").cast("string")).alias("product_name"),
-        pick(F.col("n"), *PROTOCOLS).alias("protocol"),
+    return cut_lineage(
+        numbers.select(
+            F.concat(F.lit("product_"), F.col("n").cast("string")).alias("product_name"),
+            pick(F.col("n"), *PROTOCOLS).alias("protocol"),
+        )
     )
 
 
+# Dimensions are tables of their own, as in a warehouse: written once per session
+# and read by every query that needs them.
+
+
+@functools.lru_cache(maxsize=64)
 def event_calendar(spark: SparkSession, folder: str) -> DataFrame:
     """Every day from the first to the last event, in UTC."""
-    return calendar_of(events(spark, folder), F.to_date("ts"))
+    return cut_lineage(calendar_of(events(spark, folder), F.to_date("ts")))
 
 
 # --- subscriptions -----------------------------------------------------------------
@@ -271,15 +280,15 @@ def pauses(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@functools.lru_cache(maxsize=64)
 def business_calendar(spark: SparkSession, folder: str) -> DataFrame:
     """Every business day from the first to the last event."""
-    return calendar_of(events(spark, folder), local_date(F.col("ts"), BUSINESS_ZONE))
+    return cut_lineage(calendar_of(events(spark, folder), local_date(F.col("ts"), BUSINESS_ZONE)))
 
 
 def last_business_day(spark: SparkSession, folder: str) -> Column:
     """The day the report is made for."""
-    days = events(spark, folder).agg(F.max(local_date(F.col("ts"), BUSINESS_ZONE)).alias("day"))
-    return days.scalar()
+    return business_calendar(spark, folder).agg(F.max("date")).scalar()
 
 
 def pause_days(spark: SparkSession, folder: str) -> DataFrame:
