@@ -197,7 +197,6 @@ def cancel_events(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-@functools.lru_cache(maxsize=64)
 def products(spark: SparkSession, folder: str) -> DataFrame:
     """Product names and their protocols."""
     numbers = events(spark, folder).select((F.col("k") % 3).alias("n")).distinct()
@@ -209,11 +208,9 @@ def products(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-# Dimensions are tables of their own, as in a warehouse: written once per session
-# and read by every query that needs them.
+# Dimensions are written before they are used: they are read many times per query.
 
 
-@functools.lru_cache(maxsize=64)
 def event_calendar(spark: SparkSession, folder: str) -> DataFrame:
     """Every day from the first to the last event, in UTC."""
     return cut_lineage(calendar_of(events(spark, folder), F.to_date("ts")))
@@ -280,22 +277,19 @@ def pauses(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-@functools.lru_cache(maxsize=64)
 def business_calendar(spark: SparkSession, folder: str) -> DataFrame:
     """Every business day from the first to the last event."""
     return cut_lineage(calendar_of(events(spark, folder), local_date(F.col("ts"), BUSINESS_ZONE)))
 
 
-def last_business_day(spark: SparkSession, folder: str) -> Column:
+def last_business_day(calendar: DataFrame) -> Column:
     """The day the report is made for."""
-    return business_calendar(spark, folder).agg(F.max("date")).scalar()
+    return calendar.agg(F.max("date")).scalar()
 
 
-def pause_days(spark: SparkSession, folder: str) -> DataFrame:
+def pause_days(spark: SparkSession, folder: str, calendar: DataFrame) -> DataFrame:
     """The newest pause in force per user, protocol and day."""
-    days = expand_days(
-        pauses(spark, folder), "paused_date_pst", ["resumed_date_pst"], business_calendar(spark, folder), "date_day"
-    )
+    days = expand_days(pauses(spark, folder), "paused_date_pst", ["resumed_date_pst"], calendar, "date_day")
     return _newest(days, ["admin_user_id", "protocol", "date_day"]).select(
         "admin_user_id",
         "protocol",
@@ -306,10 +300,10 @@ def pause_days(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def billing_days(spark: SparkSession, folder: str) -> DataFrame:
+def billing_days(spark: SparkSession, folder: str, calendar: DataFrame) -> DataFrame:
     """Errors as billing issues of one to four days; the newest per user and day."""
     issues = _owned(spark, folder, "error").withColumn("until", F.date_add("day", (F.col("k") % 4 + 1).cast("int")))
-    days = expand_days(issues, "day", ["until"], business_calendar(spark, folder), "date_day")
+    days = expand_days(issues, "day", ["until"], calendar, "date_day")
     return _newest(days, ["admin_user_id", "date_day"]).select(
         "admin_user_id",
         "date_day",
@@ -318,14 +312,14 @@ def billing_days(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def renewal_days(spark: SparkSession, folder: str) -> DataFrame:
+def renewal_days(spark: SparkSession, folder: str, calendar: DataFrame) -> DataFrame:
     """Views as plan renewals known for ten days; the newest per user, protocol and day."""
     plans = (
         _owned(spark, folder, "view")
         .withColumn("active_mm_plan", pick(F.floor(F.col("k") / 3) % 3, 1, 3, 12).cast("bigint"))
         .withColumn("until", F.date_add("day", 10))
     )
-    days = expand_days(plans, "day", ["until"], business_calendar(spark, folder), "date_day")
+    days = expand_days(plans, "day", ["until"], calendar, "date_day")
     return _newest(days, ["admin_user_id", "protocol", "date_day"]).select(
         "admin_user_id",
         "protocol",
@@ -336,7 +330,7 @@ def renewal_days(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def order_days(spark: SparkSession, folder: str) -> DataFrame:
+def order_days(spark: SparkSession, folder: str, calendar: DataFrame) -> DataFrame:
     """Purchases as orders, each standing until the next one of the user and protocol."""
     k = F.col("k")
     keys = ["admin_user_id", "protocol"]
@@ -355,7 +349,7 @@ def order_days(spark: SparkSession, folder: str) -> DataFrame:
         .withColumn("subscription_sequence", F.last("sequence", ignorenulls=True).over(so_far))
         .filter("is_order = 1")
     )
-    days = expand_days(placed, "day", ["until"], business_calendar(spark, folder), "date_day")
+    days = expand_days(placed, "day", ["until"], calendar, "date_day")
     return days.select(
         *keys,
         "subscription_sequence",

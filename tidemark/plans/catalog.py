@@ -141,8 +141,8 @@ def q_listing_report(spark: SparkSession, folder: str) -> DataFrame:
 # --- cancellations -------------------------------------------------------------
 
 
-def _timeline(spark: SparkSession, folder: str) -> DataFrame:
-    return cancellation_timeline(b.cancel_events(spark, folder), b.products(spark, folder))
+def _timeline(spark: SparkSession, folder: str, products: DataFrame | None = None) -> DataFrame:
+    return cancellation_timeline(b.cancel_events(spark, folder), b.products(spark, folder) if products is None else products)
 
 
 def q_cancel_timeline(spark: SparkSession, folder: str) -> DataFrame:
@@ -157,7 +157,8 @@ def q_interval_days(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _cancel_days(spark: SparkSession, folder: str, calendar: DataFrame) -> DataFrame:
-    return cancel_daily(cut_lineage(_timeline(spark, folder)), calendar, b.products(spark, folder))
+    products = b.products(spark, folder)
+    return cancel_daily(cut_lineage(_timeline(spark, folder, products)), calendar, products)
 
 
 def q_cancel_daily(spark: SparkSession, folder: str) -> DataFrame:
@@ -167,22 +168,21 @@ def q_cancel_daily(spark: SparkSession, folder: str) -> DataFrame:
 # --- subscriptions -------------------------------------------------------------
 
 
-def _state(spark: SparkSession, folder: str) -> DataFrame:
-    calendar = b.business_calendar(spark, folder)
+def _state(spark: SparkSession, folder: str, calendar: DataFrame) -> DataFrame:
     return subscriptions.subscription_daily(
         b.subscriptions(spark, folder),
-        b.pause_days(spark, folder),
+        b.pause_days(spark, folder, calendar),
         _cancel_days(spark, folder, calendar),
-        b.billing_days(spark, folder),
-        b.renewal_days(spark, folder),
-        b.order_days(spark, folder),
+        b.billing_days(spark, folder, calendar),
+        b.renewal_days(spark, folder, calendar),
+        b.order_days(spark, folder, calendar),
         calendar,
-        b.last_business_day(spark, folder),
+        b.last_business_day(calendar),
     )
 
 
 def q_subscription_state(spark: SparkSession, folder: str) -> DataFrame:
-    return plain(_state(spark, folder))
+    return plain(_state(spark, folder, b.business_calendar(spark, folder)))
 
 
 def q_nearest_pause(spark: SparkSession, folder: str) -> DataFrame:
@@ -194,9 +194,9 @@ def q_nearest_pause(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _flags(spark: SparkSession, folder: str) -> DataFrame:
-    return subscriptions.day_over_day_flags(
-        cut_lineage(_state(spark, folder)), b.pauses(spark, folder), b.business_calendar(spark, folder)
-    )
+    calendar = b.business_calendar(spark, folder)
+    state = cut_lineage(_state(spark, folder, calendar))
+    return subscriptions.day_over_day_flags(state, b.pauses(spark, folder), calendar)
 
 
 _SPOT = ["date_day", "uuid", "admin_user_id", "protocol", "subscription_sequence"]
