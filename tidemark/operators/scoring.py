@@ -107,19 +107,24 @@ def run_scorer(batches: DataFrame, scorer: Scorer) -> DataFrame:
     return batches.mapInPandas(respond, "batch_id bigint, response string")
 
 
-def _as_object(text: Column) -> Column:
-    """JSON object as a map of texts; null for anything else.
+def _objects(text: Column) -> Column:
+    """JSON object as a list of one map of texts; empty for anything else.
 
     Parsed as the only element of an array, which rejects text after the object.
     """
     parsed = F.from_json(
         F.concat(F.lit("["), text, F.lit("]")), "array<map<string,string>>", {"allowSingleQuotes": "false"}
     )
-    return F.when(F.size(parsed) == 1, F.get(parsed, F.lit(0)))
+    return F.flatten(F.filter(F.array(parsed), lambda found: F.size(found) == 1))
 
 
 def _matched(objects: DataFrame, requests: DataFrame) -> DataFrame:
-    """Objects that name a row of their batch; of several, the last one."""
+    """Objects that name a row of their batch; of several, the last one.
+
+    An outer explode: the plain one would parse every line again in a filter below
+    itself. The join drops what is no object.
+    """
+    objects = objects.select("batch_id", "place", F.explode_outer(_objects(F.col("line"))).alias("object"))
     known = requests.select("batch_id", "uuid").distinct()
     named = objects.withColumn("uuid", F.col("object")["uuid"]).join(known, ["batch_id", "uuid"])
     return latest_per_key(named, ["batch_id", "uuid"], [F.col("place").desc()])
@@ -148,18 +153,12 @@ def parse_scores(
         texts.select("batch_id", F.posexplode(F.split("content", "\n")).alias("place", "line"))
         .withColumn("line", F.regexp_replace("line", r"^\s+|\s+$", ""))
         .filter(F.col("line").startswith("{"))
-        .select("batch_id", "place", _as_object(F.col("line")).alias("object"))
-        .filter(F.col("object").isNotNull())
     )
     by_line = _matched(lines, requests)
     silent = texts.join(by_line.select("batch_id").distinct(), "batch_id", "left_anti")
-    anywhere = (
-        silent.select(
-            "batch_id",
-            F.posexplode(F.regexp_extract_all("content", F.lit(_OBJECT), F.lit(0))).alias("place", "line"),
-        )
-        .select("batch_id", "place", _as_object(F.col("line")).alias("object"))
-        .filter(F.col("object").isNotNull())
+    anywhere = silent.select(
+        "batch_id",
+        F.posexplode(F.regexp_extract_all("content", F.lit(_OBJECT), F.lit(0))).alias("place", "line"),
     )
     parsed = by_line.unionByName(_matched(anywhere, requests))
 

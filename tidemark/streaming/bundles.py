@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tidemark.session import cut_lineage
 from tidemark.sources.bundles import BUNDLE_SCHEMA, flatten_bundles
 from tidemark.sources.upsert import VersionedTable, upsert
 
@@ -26,7 +27,7 @@ def keep_newest(batch: DataFrame, table: VersionedTable) -> None:
         return
     target = table.read()
     known = target.select("id", F.col("meta_lastupdated").alias("_known"))
-    fresh = (
+    fresh = cut_lineage(
         batch.join(known, "id", "left")
         .filter(F.col("_known").isNull() | (F.col("meta_lastupdated") > F.col("_known")))
         .drop("_known")
