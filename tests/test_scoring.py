@@ -63,6 +63,7 @@ def test_batches_are_full_but_the_last_and_texts_keep_order(spark):
         (scores("a", diet=-1) + "\n" + scores("a", diet=1), {"diet": 1}),
         ("Result: " + json.dumps({"uuid": "a", "mood": 1, "why": {"x": 1}}, indent=1) + " done", {"mood": 1}),
         ('{"uuid": "a", "mood": "1", "diet": 1.5}', {"mood": 1}),
+        ('{"uuid": "z", "mood": 0, "uuid": "a", "mood": 1}', {"mood": 1}),
     ],
 )
 def test_parsed(spark, response, expected):

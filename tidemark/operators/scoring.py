@@ -118,6 +118,12 @@ def _objects(text: Column) -> Column:
     return F.flatten(F.filter(F.array(parsed), lambda found: F.size(found) == 1))
 
 
+def _value(key: str) -> Column:
+    """Value of a key of the parsed object; of a repeated key, the last one."""
+    values = F.map_values(F.map_filter("object", lambda name, _: name == key))
+    return F.try_element_at(values, F.lit(-1))
+
+
 def _matched(objects: DataFrame, requests: DataFrame) -> DataFrame:
     """Objects that name a row of their batch; of several, the last one.
 
@@ -126,7 +132,7 @@ def _matched(objects: DataFrame, requests: DataFrame) -> DataFrame:
     """
     objects = objects.select("batch_id", "place", F.explode_outer(_objects(F.col("line"))).alias("object"))
     known = requests.select("batch_id", "uuid").distinct()
-    named = objects.withColumn("uuid", F.col("object")["uuid"]).join(known, ["batch_id", "uuid"])
+    named = objects.withColumn("uuid", _value("uuid")).join(known, ["batch_id", "uuid"])
     return latest_per_key(named, ["batch_id", "uuid"], [F.col("place").desc()])
 
 
@@ -168,7 +174,7 @@ def parse_scores(
         "batch_id", (F.col("_asked") == F.col("_found")).alias("batch_complete")
     )
     originals = latest_per_key(requests, ["batch_id", "uuid"], [F.col("position")])
-    scores = [F.col("object")[c] for c in CATEGORIES]
+    scores = [_value(c) for c in CATEGORIES]
     return (
         originals.select("batch_id", "uuid", "goals_freeform", "protocol", "is_new")
         .join(parsed, ["batch_id", "uuid"])
