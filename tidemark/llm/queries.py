@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, quality_model, simhash
+from tidemark.llm import bpe, fm_index, quality_model, simhash
 from tidemark.llm.common import fold, load
 
 RANK_FILE = "byte_bpe_multi_50k.tiktoken"
@@ -19,6 +19,19 @@ def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = fm_index.contamination(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"), window=10)
+    n_hit = F.aggregate("spans", F.lit(0).cast("bigint"), lambda n, s: n + s["past"] - s["first"])
+    return found.select(
+        "doc_id",
+        "n_words",
+        n_hit.alias("n_hit"),
+        F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.concat_ws(",", F.array_sort("items")), 256).alias("items_sha256"),
+        (n_hit > 0).alias("contaminated"),
+    )
+
+
 def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = quality_model.score_documents(
         load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"), fold("doc_id", 3) != 1
@@ -39,6 +52,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
+    "op7_decontamination": op7_decontamination,
     "op8_quality_classifier": op8_quality_classifier,
     "op10_byte_bpe": op10_byte_bpe,
 }
