@@ -8,12 +8,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, fm_index, quality_model, simhash
+from tidemark.llm import bpe, fm_index, licenses, line_rules, quality_model, simhash
 from tidemark.llm.common import fold, load
 
 RANK_FILE = "byte_bpe_multi_50k.tiktoken"
 
 
+def op4_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_rules.line_quality(load(spark, sf_dir, "documents"), most_docs=50, most_share=0.02)
+
+
 def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(load(spark, sf_dir, "documents"), width=4, bits=4)
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -44,6 +48,10 @@ def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(load(spark, sf_dir, "documents"))
+
+
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(
         load(spark, sf_dir, "documents"), public_tokenizers.path(RANK_FILE), public_tokenizers.PATTERN
@@ -51,10 +59,15 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_line_rules": op4_line_rules,
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
     "op7_decontamination": op7_decontamination,
     "op8_quality_classifier": op8_quality_classifier,
+    "op9_license_scan": op9_license_scan,
     "op10_byte_bpe": op10_byte_bpe,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op4_line_rules": line_rules.line_quality_sql(50, 0.02),
+    "op9_license_scan": licenses.scan_sql(),
+}
