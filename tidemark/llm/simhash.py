@@ -68,14 +68,15 @@ def _signed(mask: int) -> int:
 
 def _forest(values: np.ndarray, bits: int) -> list[tuple[int, int]]:
     """Edges of a spanning forest of the pairs within ``bits`` bits."""
+    patterns = values.view(np.uint64)  # signed numbers are counted by their absolute value
     if len(values) == 2:
-        return [(int(values[0]), int(values[1]))] if int(np.bitwise_count(values[0] ^ values[1])) <= bits else []
+        return [(int(values[0]), int(values[1]))] if int(np.bitwise_count(patterns[0] ^ patterns[1])) <= bits else []
     rest, edges = np.arange(len(values)), []
     while len(rest):
         queue, rest = [rest[0]], rest[1:]
         while queue and len(rest):
             node = queue.pop()
-            near = np.bitwise_count(values[rest] ^ values[node]) <= bits
+            near = np.bitwise_count(patterns[rest] ^ patterns[node]) <= bits
             edges += [(int(values[node]), int(values[i])) for i in rest[near]]
             queue += rest[near].tolist()
             rest = rest[~near]
