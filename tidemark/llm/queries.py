@@ -8,12 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, fm_index, licenses, line_rules, quality_model, simhash
+from tidemark.llm import bpe, fm_index, licenses, line_dedup, line_rules, quality_model, simhash
 from tidemark.llm.common import fold, load
 
 RANK_FILE = "byte_bpe_multi_50k.tiktoken"
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_dedup.kept_lines(load(spark, sf_dir, "documents"), bits=4, least=0.8)
+    n_removed = F.col("n_lines") - F.size("kept")
+    return found.select("doc_id", "n_lines", n_removed.alias("n_removed"), F.col("kept").alias("kept_lines"))
+
+
 def op4_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_rules.line_quality(load(spark, sf_dir, "documents"), most_docs=50, most_share=0.02)
 
@@ -59,6 +65,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_line_dedup": op1_line_dedup,
     "op4_line_rules": op4_line_rules,
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
     "op7_decontamination": op7_decontamination,

@@ -83,56 +83,109 @@ def _forest(values: np.ndarray, bits: int) -> list[tuple[int, int]]:
     return edges
 
 
-def linked_values(values: DataFrame, bits: int = 4, blocks: int = 7, chunk: int = 1024) -> DataFrame:
-    """Links (a, b) that connect all distinct 64-bit ``fp`` values within ``bits`` differing bits.
+def _runs(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Start and length of every run of equal keys."""
+    starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.empty(0, np.int64)
+    return starts, np.diff(np.append(starts, len(keys)))
 
-    Values that close agree on ``blocks - bits`` whole blocks, so every choice of
-    so many blocks is a join key. Keys with one value fall out by a count that is
-    combined before its shuffle. A key with more than ``chunk`` values is dealt
-    into chunks, and each two chunks meet as one group of bounded size, so no task
-    ever holds a whole hot key. A group yields the edges of a spanning forest over
-    its true links: as many connections as all pairs, but fewer rows than values.
-    """
-    masks = block_masks(blocks, bits)
-    keyed = values.select(
-        "fp",
-        F.explode(
-            F.array(*[F.struct(F.lit(i).alias("choice"), F.col("fp").bitwiseAND(F.lit(_signed(m))).alias("part")) for i, m in enumerate(masks)])
-        ).alias("k"),
-    ).select("k.choice", "k.part", "fp")
-    shared = keyed.groupBy("choice", "part").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    chunks = F.ceil(F.col("n") / F.lit(chunk)).cast("int")
-    mine = F.pmod(F.xxhash64("fp"), F.col("chunks")).cast("int")
-    grouped = (
-        keyed.join(shared, ["choice", "part"])
-        .withColumn("chunks", chunks)
-        .withColumn("mine", mine)
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-        .select(
-            F.xxhash64("choice", "part", F.least("mine", "other"), F.greatest("mine", "other")).alias("meet"), "fp"
-        )
-    )
 
-    def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        meets, fps = np.empty(0, np.int64), np.empty(0, np.int64)
+def _worth_a_look(values: np.ndarray, starts: np.ndarray, sizes: np.ndarray, bits: int, small: int = 8) -> np.ndarray:
+    """Which runs can hold a link: small ones with two values close to each other, and all larger ones."""
+    patterns = values.view(np.uint64)
+    run = np.repeat(np.arange(len(starts)), sizes)
+    found = sizes > small
+    for step in range(1, small):
+        close = np.bitwise_count(patterns[step:] ^ patterns[:-step]) <= bits
+        close &= run[step:] == run[:-step]
+        found[run[step:][close]] = True
+    return found
+
+
+def _meeting_edges(grouped: DataFrame, bits: int, chunk: int | None) -> DataFrame:
+    """(a, b, hot) from (meet, fp): links of each group, or with ``hot`` the rows of a group above ``chunk``.
 
-        def edges_of(m: np.ndarray, v: np.ndarray) -> pa.RecordBatch:
-            cuts = np.flatnonzero(np.diff(m)) + 1
-            found = [e for part in np.split(v, cuts) if len(part) > 1 for e in _forest(part, bits)]
-            pairs = np.array(found, np.int64).reshape(-1, 2)
-            return pa.record_batch([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+    A task streams its sorted rows and holds one batch and the group that is open;
+    rows of a group that has grown above ``chunk`` are passed on unseen.
+    """
 
+    def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def made(a: list | np.ndarray, b: list | np.ndarray, hot: bool) -> pa.RecordBatch:
+            return pa.record_batch(
+                [pa.array(np.asarray(a, np.int64)), pa.array(np.asarray(b, np.int64)), pa.array(np.full(len(a), hot))],
+                ["a", "b", "hot"],
+            )
+
+        def closed(m: np.ndarray, v: np.ndarray) -> Iterator[pa.RecordBatch]:
+            starts, sizes = _runs(m)
+            look = _worth_a_look(v, starts, sizes, bits)
+            edges: list[tuple[int, int]] = []
+            for at, size in zip(starts[look].tolist(), sizes[look].tolist()):
+                if chunk is None or size <= chunk:
+                    edges += _forest(v[at : at + size], bits)
+                else:
+                    yield made(m[at : at + size], v[at : at + size], True)
+            if edges:
+                pairs = np.array(edges, np.int64)
+                yield made(pairs[:, 0], pairs[:, 1], False)
+
+        meets, fps, passing = np.empty(0, np.int64), np.empty(0, np.int64), None
         for batch in batches:
             meets = np.concatenate([meets, batch.column(0).to_numpy()])
             fps = np.concatenate([fps, batch.column(1).to_numpy()])
+            if passing is not None:
+                n = int(np.searchsorted(meets, passing, side="right"))
+                if n:
+                    yield made(meets[:n], fps[:n], True)
+                passing = passing if n == len(meets) else None
+                meets, fps = meets[n:], fps[n:]
             if len(meets):
                 done = int(np.searchsorted(meets, meets[-1]))  # the last group may go on in the next batch
-                yield edges_of(meets[:done], fps[:done])
+                yield from closed(meets[:done], fps[:done])
                 meets, fps = meets[done:], fps[done:]
+                if chunk is not None and len(meets) > chunk:
+                    yield made(meets, fps, True)
+                    passing, meets, fps = meets[-1], meets[:0], fps[:0]
         if len(meets):
-            yield edges_of(meets, fps)
+            yield from closed(meets, fps)
+
+    dealt = grouped.repartition("meet").sortWithinPartitions("meet")
+    return dealt.mapInArrow(over, "a bigint, b bigint, hot boolean")
 
-    return grouped.repartition("meet").sortWithinPartitions("meet").mapInArrow(over, "a bigint, b bigint").distinct()
+
+def dealt_in_chunks(rows: DataFrame, key: str, item: str, chunk: int) -> DataFrame:
+    """``rows`` with a column ``meet``: each two chunks of a key's items meet in one group of bounded size.
+
+    Items are dealt by hash into as many chunks as the key's count asks for; a row
+    stands once for each chunk that its own meets. Any two items of a key share at
+    least one group. The counts are combined before their shuffle, and the join of
+    a key with its count can be split.
+    """
+    counts = rows.groupBy(key).agg(F.ceil(F.count(F.lit(1)) / F.lit(chunk)).cast("int").alias("chunks"))
+    mine = F.pmod(F.xxhash64(item), F.col("chunks")).cast("int")
+    return (
+        rows.join(counts, key)
+        .withColumn("mine", mine)
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+        .withColumn("meet", F.xxhash64(key, F.least("mine", "other"), F.greatest("mine", "other")))
+        .drop("chunks", "mine", "other")
+    )
+
+
+def linked_values(values: DataFrame, bits: int = 4, blocks: int = 7, chunk: int = 1024) -> DataFrame:
+    """Links (a, b) that connect all distinct 64-bit ``fp`` values within ``bits`` differing bits.
+
+    Close values agree on ``blocks - bits`` whole blocks, so every choice of so
+    many blocks is a join key. A key with more than ``chunk`` values is dealt into
+    chunks, and each two chunks meet as one group of bounded size, so no group
+    holds a whole hot key. A group yields the edges of a spanning forest over its
+    true links: as many connections as all pairs, but fewer rows than values.
+    """
+    masks = block_masks(blocks, bits)
+    meets = F.array(*[F.xxhash64(F.lit(i), F.col("fp").bitwiseAND(F.lit(_signed(m)))) for i, m in enumerate(masks)])
+    first = cut_lineage(_meeting_edges(values.select(F.explode(meets).alias("meet"), "fp"), bits, chunk))
+    hot = first.filter("hot").select(F.col("a").alias("key"), F.col("b").alias("fp"))
+    second = _meeting_edges(dealt_in_chunks(hot, "key", "fp", chunk).select("meet", "fp"), bits, None)
+    return first.filter("not hot").select("a", "b").unionByName(second.select("a", "b")).distinct()
 
 
 def near_duplicates(
