@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, fm_index, licenses, line_dedup, line_rules, quality_model, simhash
+from tidemark.llm import bpe, fm_index, katz, licenses, line_dedup, line_rules, quality_model, simhash
 from tidemark.llm.common import fold, load
 
 RANK_FILE = "byte_bpe_multi_50k.tiktoken"
@@ -24,6 +24,10 @@ def op4_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_rules.line_quality(load(spark, sf_dir, "documents"), most_docs=50, most_share=0.02)
 
 
+def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return katz.score_documents(load(spark, sf_dir, "documents"), fold("doc_id", 7) == 2)
+
+
 def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(load(spark, sf_dir, "documents"), width=4, bits=4)
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -67,6 +71,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op4_line_rules": op4_line_rules,
+    "op5_lm_scoring": op5_lm_scoring,
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
     "op7_decontamination": op7_decontamination,
     "op8_quality_classifier": op8_quality_classifier,
