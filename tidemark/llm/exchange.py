@@ -9,7 +9,9 @@ integer arrays; Spark deals, sorts and stores them as rows.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -17,6 +19,8 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.session import checkpoint_dir
+
 #: A row is the state of a batch (bucket -1), a question or an answer; ``parts`` are packed arrays.
 ROW = "batch string, bucket int, parts array<binary>"
 _ARROW = pa.schema([("batch", pa.string()), ("bucket", pa.int32()), ("parts", pa.list_(pa.binary()))])
@@ -75,9 +79,30 @@ def answer(questions: DataFrame, function: Callable[[int, list[str], list[list[b
     return questions.select("batch", "bucket", "parts").groupBy("bucket").applyInArrow(one, ROW)
 
 
+@dataclass(frozen=True)
+class Scan:
+    """The written states of all batches, dealt by batch so that answers join without moving them, and first questions."""
+
+    states: DataFrame
+    questions: DataFrame
+
+
+def scan(batches: DataFrame, n: int) -> Scan:
+    """Write rows of states and questions to the checkpoint folder, states dealt into ``n`` buckets by batch."""
+    spark = batches.sparkSession
+    name = f"scan_{uuid.uuid4().hex}"
+    path = f"{checkpoint_dir(spark)}/{name}"
+    marked = batches.withColumn("is_state", F.col("bucket") == STATE)
+    marked.write.partitionBy("is_state").bucketBy(n, "batch").option("path", path).format("parquet").saveAsTable(name)
+    table = spark.table(name)
+    return Scan(
+        table.filter("is_state").select("batch", "parts"),
+        table.filter("not is_state").select("batch", "bucket", "parts"),
+    )
+
+
 def with_answers(states: DataFrame, *answers: DataFrame) -> DataFrame:
     """(batch, parts, answers) of each state with all its answers; an answer frame may follow several questions."""
-    joined = states.filter(F.col("bucket") == STATE).select("batch", "parts")
     together = answers[0]
     for more in answers[1:]:
         together = together.unionByName(more)
@@ -86,4 +111,32 @@ def with_answers(states: DataFrame, *answers: DataFrame) -> DataFrame:
         .groupBy("batch")
         .agg(F.collect_list(F.struct("bucket", "parts")).alias("answers"))
     )
-    return joined.join(gathered, "batch", "left")
+    return states.join(gathered, "batch", "left")
+
+
+def pack_sorted(values: np.ndarray) -> bytes:
+    """As ``pack``, for ascending values: the steps between them take fewer bytes."""
+    return pack(np.diff(values, prepend=values[:1] * 0))
+
+
+def unpack_sorted(data: bytes) -> np.ndarray:
+    return np.cumsum(unpack(data), dtype=np.uint64)
+
+
+def ordered(ids: np.ndarray) -> np.ndarray:
+    """Signed integers as unsigned ones in the same order."""
+    return ids.astype(np.int64).view(np.uint64) ^ np.uint64(1 << 63)
+
+
+def least_by_key(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys, ascending, and the least value of each."""
+    order = np.lexsort((values, keys))
+    keys, values = keys[order], values[order]
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.empty(0, np.int64)
+    return keys[first], values[first]
+
+
+def edges_by_range(keys: np.ndarray, bits: int, buckets: int) -> np.ndarray:
+    """Where each bucket's share of ascending keys of so many bits begins, and the end."""
+    owner = ((keys >> np.uint64(bits - 32)) * np.uint64(buckets)) >> np.uint64(32)
+    return np.searchsorted(owner, np.arange(buckets + 1, dtype=np.uint64))

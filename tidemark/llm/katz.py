@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import mix, partitions
-from tidemark.llm.exchange import ROW, STATE, answer, each_row, pack, rows, unpack, with_answers
+from tidemark.llm.exchange import ROW, STATE, answer, each_row, edges_by_range, pack, rows, scan, unpack, with_answers
 from tidemark.session import cut_lineage
 
 #: Counts up to this one are discounted.
@@ -100,8 +100,7 @@ def _scan(docs: DataFrame, buckets: int) -> DataFrame:
         marks = np.searchsorted(keys, np.array([START], np.uint64))
         state = [pack(x) for x in (numbers, known, np.array(held), lengths, tokens, marks)]
         found: list[tuple[str | None, int, list[bytes]]] = [(name, STATE, state)]
-        owner = ((keys >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
-        edges = np.searchsorted(owner, np.arange(buckets + 1, dtype=np.uint64))
+        edges = edges_by_range(keys, 64, buckets)
         for bucket in np.flatnonzero(np.diff(edges)).tolist():
             part = slice(edges[bucket], edges[bucket + 1])
             found.append((name, bucket, [pack(keys[part]), pack(counts[part])]))
@@ -338,8 +337,8 @@ def score_documents(
         F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"),
         F.coalesce(held_out, F.lit(False)).alias("held_out"),
     )
-    scanned = cut_lineage(_scan(plain, buckets))
-    words = cut_lineage(_count_words(scanned.filter(F.col("bucket") != STATE)))
+    scanned = scan(_scan(plain, buckets), partitions(spark))
+    words = cut_lineage(_count_words(scanned.questions))
     sums = _summed(words, 0)
     once = np.ones(MOST_DISCOUNTED + 1)
     totals = Totals(int(sums[0]), int(sums[1]), discounts(sums[2:]), once, buckets, sums[2 : 2 + MOST_DISCOUNTED])
@@ -347,7 +346,7 @@ def score_documents(
     def ask(name: str, state: list[bytes], answers: dict[int, list[bytes]]) -> Iterator[list[tuple]]:
         yield _ask_bigrams(Batch.of(state, answers, totals), name, totals)
 
-    questions = each_row(with_answers(scanned, words), ask, ROW, rows)
+    questions = each_row(with_answers(scanned.states, words), ask, ROW, rows)
     bigrams = cut_lineage(_count_bigrams(questions, totals))
     full = replace(totals, bigram=discounts(_summed(bigrams, 0)[2:]))
     hot = _hot(bigrams)
@@ -374,4 +373,4 @@ def score_documents(
         "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, "
         "base_score double, score double"
     )
-    return each_row(with_answers(scanned, words, bigrams), score, schema, made)
+    return each_row(with_answers(scanned.states, words, bigrams), score, schema, made)
