@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import anchors, bpe, fm_index, katz, licenses, line_dedup, line_rules, quality_model, simhash
+from tidemark.llm import anchors, bpe, byte_dedup, fm_index, katz, licenses, line_dedup, line_rules, quality_model, simhash
 from tidemark.llm.common import fold, load
 
 RANK_FILE = "byte_bpe_multi_50k.tiktoken"
@@ -20,6 +20,11 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_lines", n_removed.alias("n_removed"), F.col("kept").alias("kept_lines"))
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = byte_dedup.drop_repeats(load(spark, sf_dir, "documents"), length=50)
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = anchors.drop_repeats(load(spark, sf_dir, "documents"), window=13)
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"), "n_spans")
@@ -75,6 +80,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op3_substring_dedup": op3_substring_dedup,
     "op4_line_rules": op4_line_rules,
     "op5_lm_scoring": op5_lm_scoring,
