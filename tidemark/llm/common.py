@@ -73,6 +73,11 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
     return found
 
 
+def with_field(schema: T.StructType, name: str, kind: T.DataType) -> T.StructType:
+    """A copy of ``schema`` with one more field."""
+    return T.StructType([*schema.fields, T.StructField(name, kind)])
+
+
 def partitions(spark: SparkSession) -> int:
     """The session's shuffle partition count, which operators size their buckets by."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

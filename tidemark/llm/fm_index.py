@@ -1,6 +1,6 @@
 """Benchmark decontamination with an FM-index per shard of the training texts.
 
-A shard is one Arrow batch of documents. Its words become symbols of the phrases'
+A shard is an Arrow batch of documents or a part of one. Its words become symbols of the phrases'
 vocabulary; other words can be part of no phrase, so they only separate, and runs
 of known words that are shorter than the shortest phrase are left out as well.
 Over the runs that remain stand a suffix order, its Burrows-Wheeler transform in a
@@ -204,27 +204,30 @@ def hits_of(symbols: np.ndarray, phrases: Phrases) -> tuple[np.ndarray, np.ndarr
     return places + shift[places], which
 
 
-def mark_spans(
-    marked: DataFrame, phrases: Phrases, keep_text: bool
-) -> DataFrame:
+def shards(batch: pa.RecordBatch, at: int, block: Phrases) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """Slices of a batch with the symbols of their texts, a zero after each text, and the words of each text."""
+    known, start = block.vocabulary, 0
+    while start < batch.num_rows:
+        parts, sizes, total = [], [], 0
+        while start + len(sizes) < batch.num_rows and total < SHARD_WORDS:
+            words = words_of((batch.column(at)[start + len(sizes)].as_py() or "").encode())
+            parts.append(np.array([known.get(w, 0) for w in words] + [0], np.int64))
+            sizes.append(len(words))
+            total += len(words) + 1
+        yield batch.slice(start, len(sizes)), np.concatenate(parts), np.array(sizes, np.int64)
+        start += len(sizes)
+
+
+def mark_spans(marked: DataFrame, phrases: Phrases, keep_text: bool) -> DataFrame:
     """Add to ``spans`` and ``items`` of (doc_id, text, spans, items) what a block of phrases hits."""
     shipped = marked.sparkSession.sparkContext.broadcast(phrases)
     fields = "doc_id bigint, n_words bigint, " + f"spans {SPANS}, items array<string>" + (", text string" if keep_text else "")
 
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = shipped.value
-        known = block.vocabulary
         for batch in batches:
-            start = 0
-            while start < batch.num_rows:
-                parts, sizes, total = [], [], 0
-                while start + len(sizes) < batch.num_rows and (total < SHARD_WORDS):
-                    words = words_of((batch.column(1)[start + len(sizes)].as_py() or "").encode())
-                    parts.append(np.array([known.get(w, 0) for w in words] + [0], np.int64))
-                    sizes.append(len(words))
-                    total += len(words) + 1
-                yield shard(batch.slice(start, len(sizes)), np.concatenate(parts), np.array(sizes, np.int64), block)
-                start += len(sizes)
+            for part, symbols, sizes in shards(batch, 1, block):
+                yield shard(part, symbols, sizes, block)
 
     def shard(batch: pa.RecordBatch, symbols: np.ndarray, sizes: np.ndarray, block: Phrases) -> pa.RecordBatch:
         places, which = hits_of(symbols, block)
@@ -295,3 +298,33 @@ def contamination(
     for following in searches:
         marked, waiting = mark_spans(marked, waiting, keep_text=True), following
     return mark_spans(marked, waiting, keep_text=False)
+
+
+def drop_contaminated(
+    docs: DataFrame,
+    items: DataFrame,
+    window: int = 10,
+    text_col: str = "text",
+    item_col: str = "item_id",
+    item_text_col: str = "text",
+) -> DataFrame:
+    """``docs``, all columns, without the rows of which a window of an item covers a word."""
+    at = docs.columns.index(text_col)
+    clean = docs
+    for block in item_blocks(items, item_col, item_text_col):
+        if phrases := phrases_of(block, window):
+            clean = clean.mapInArrow(_without_hits(clean.sparkSession.sparkContext.broadcast(phrases), at), docs.schema)
+    return clean
+
+
+def _without_hits(shipped, at: int):
+    def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block = shipped.value
+        for batch in batches:
+            for part, symbols, sizes in shards(batch, at, block):
+                first = np.concatenate([[0], np.cumsum(sizes + 1)])
+                clean = np.ones(len(sizes), bool)
+                clean[np.searchsorted(first, hits_of(symbols, block)[0], side="right") - 1] = False
+                yield part.filter(pa.array(clean))
+
+    return over

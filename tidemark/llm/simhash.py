@@ -10,8 +10,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tidemark.llm.common import id_and_text
+from tidemark.llm.common import fresh, id_and_text, with_field
 from tidemark.llm.graph import components
 from tidemark.session import cut_lineage
 
@@ -44,15 +45,26 @@ def fingerprint(text: bytes, width: int) -> int:
     return int(np.packbits(2 * counts > len(hashes), bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, width: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, fp bigint), one row per input row; a null text has no words."""
+def _bodies(texts: pa.Array) -> pa.Array:
+    """A 64-bit hash of each text; null is empty."""
+    return pa.array(np.array([xxhash.xxh64_intdigest(t.as_py() or "") for t in texts], np.uint64).view(np.int64))
+
+
+def fingerprints(
+    docs: DataFrame, width: int, id_col: str = "doc_id", text_col: str = "text", with_body: bool = False
+) -> DataFrame:
+    """(doc_id, fp bigint), one row per input row; ``body`` adds a hash of the text. A null text has no words."""
 
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             made = [fingerprint((t.as_py() or "").encode(), width) for t in batch.column(1)]
-            yield pa.record_batch([batch.column(0), pa.array(np.array(made, np.uint64).view(np.int64))], ["doc_id", "fp"])
+            columns = [batch.column(0), pa.array(np.array(made, np.uint64).view(np.int64))]
+            if with_body:
+                columns.append(_bodies(batch.column(1)))
+            yield pa.record_batch(columns, names)
 
-    return id_and_text(docs, id_col, text_col).mapInArrow(over, "doc_id bigint, fp bigint")
+    names = ["doc_id", "fp", "body"] if with_body else ["doc_id", "fp"]
+    return id_and_text(docs, id_col, text_col).mapInArrow(over, ", ".join(f"{c} bigint" for c in names))
 
 
 def block_masks(blocks: int, bits: int) -> list[int]:
@@ -215,3 +227,42 @@ def near_duplicates(
     names = named.groupBy("component").agg(F.min("least").alias("component_id"))
     known = named.join(names, "component").select(F.col("fp").alias("_fp"), "component_id")
     return marked.join(known, F.col("fp") == F.col("_fp"), "left").drop("_fp")
+
+
+def keep_one(
+    docs: DataFrame,
+    width: int = 5,
+    bits: int = 6,
+    blocks: int = 9,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+) -> DataFrame:
+    """``docs``, all columns, with one document of every near-duplicate component: the first by doc_id.
+
+    A document is its id and text: rows that repeat both stay or go together. Null
+    ids come last, equal ids are ordered by fingerprint and text hash. Texts
+    without words are one component, as their fingerprints are equal.
+    """
+    marked = cut_lineage(fingerprints(docs, width, id_col, text_col, with_body=True))
+    values = cut_lineage(marked.select("fp").distinct())
+    groups = components(linked_values(values, bits, blocks))
+    body, number, of = fresh(docs, "own_body", "kept_id", "kept_body")
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "fp", "body")
+    first = marked.groupBy("fp").agg(F.min(order).alias("first"))
+    chosen = (
+        first.join(groups, first["fp"] == groups["node"], "left")
+        .groupBy(F.coalesce("component", "fp").alias("component"))
+        .agg(F.min("first").alias("first"))
+        .select(F.col("first.doc_id").alias(number), F.col("first.body").alias(of))
+    )
+    at, names = docs.columns.index(text_col), docs.columns
+
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.record_batch([*batch.columns, _bodies(batch.column(at))], [*names, body])
+
+    return (
+        docs.mapInArrow(hashed, with_field(docs.schema, body, T.LongType()))
+        .join(chosen, F.col(id_col).cast("bigint").eqNullSafe(F.col(number)) & (F.col(body) == F.col(of)), "left_semi")
+        .select(*names)
+    )
