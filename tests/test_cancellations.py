@@ -98,11 +98,26 @@ def random_events(seed, n=300):
 @pytest.mark.parametrize("seed", [1, 2])
 def test_cutting_a_hot_key_changes_nothing(spark, products, seed):
     log = events(spark, random_events(seed))
-    plain = cancellation_timeline(log, products, segment=None)
+    plain = cancellation_timeline(log, products, segment=F.lit(0))
     cut = cancellation_timeline(log, products, segment=F.to_date("created_at"))
     assert bag(plain) == bag(cut)
 
 
+def test_a_key_hot_within_one_day_is_cut_by_the_hour(spark, products):
+    data = [(u, p, f"2024-01-05 {i % 24:02d}:00", i, until) for i, (u, p, _, _, until) in enumerate(random_events(4))]
+    log = events(spark, data)
+    by_hour = cancellation_timeline(log, products, segment=F.date_trunc("hour", "created_at"))
+    assert bag(by_hour) == bag(cancellation_timeline(log, products, segment=F.lit(0)))
+
+
+def test_no_job_runs_before_the_timeline_is_asked_for(spark, products):
+    log = events(spark, random_events(5))
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("timeline", "building the plan")
+    cancellation_timeline(log, products)
+    assert not tracker.getJobIdsForGroup("timeline")
+
+
 def test_intervals_of_one_key_do_not_overlap(spark, products):
     found = timeline(spark, products, random_events(3))
     assert len(found) > 10
@@ -125,8 +140,8 @@ def test_expand_days_counts_the_days_of_each_interval(spark):
         ("open", day("2024-01-09")), ("open", day("2024-01-10")),
     ]
     holes = calendar.filter("date != date'2024-01-04'")
-    assert expand_days(df, "a", ["b"], holes, gaps=True).filter("id = 'closed'").count() == 1
-    assert expand_days(df, "a", ["b"], calendar, last=F.lit(day("2024-01-09"))).filter("id = 'open'").count() == 1
+    assert expand_days(df, "a", ["b"], holes).filter("id = 'closed'").count() == 1
+    assert expand_days(df, "a", ["b"], calendar, last=F.lit(day("2024-01-09")), contiguous=True).filter("id = 'open'").count() == 1
 
 
 def test_expansion_has_no_range_join(spark):

@@ -27,7 +27,7 @@ def raw(spark, data):
     return spark.createDataFrame(full, RAW)
 
 
-def through(spark, data):
+def through(spark, data, standard=("Standard",)):
     listings = li.clean_listings(raw(spark, data), FLOOR)
     communities = spark.createDataFrame(
         [("R", day("2024-10-15"), "Area", day("2024-10-20"))],
@@ -35,7 +35,7 @@ def through(spark, data):
     )
     names = spark.createDataFrame([("C", "R", "Region")], "community_id string, rpt_community_id string, rpt_community_name string")
     plans = spark.createDataFrame(
-        [("R", "Plan One", "Standard")], "community_id string, floor_plan string, rpt_floor_plan string"
+        [("R", "Plan One", name) for name in standard], "community_id string, floor_plan string, rpt_floor_plan string"
     ).selectExpr("*", "cast(3 as decimal(6,1)) bed", "cast(2 as decimal(6,1)) bath")
     named = li.standardise_dims(listings, names, plans)
     return rows(li.days_on_market(li.snapshot_changes(named, communities)), "homesite_id", "report_date")
@@ -113,3 +113,14 @@ def test_null_status_before_a_sale_takes_the_old_price_but_raises_no_flag(spark)
 def test_unmapped_community_has_null_names(spark):
     found = through(spark, [("a", "2024-10-17", "Now Selling", "1", {"community": "unknown"})])
     assert (found[0]["community_id"], found[0]["community_name"], found[0]["floor_plan"]) == (None, None, None)
+
+
+def test_a_plan_in_two_chains_compares_every_copy_with_every_copy_before(spark):
+    data = [("a", "2024-10-17", "Now Selling", "100"), ("a", "2024-10-18", "Under Contract", "90")]
+    found = through(spark, data, standard=("Standard", "Also Standard"))
+    first, second = found[:2], found[2:]
+    assert len(second) == 4 and sorted(r["floor_plan"] for r in second) == ["Also Standard"] * 2 + ["Standard"] * 2
+    assert all(r["status_previous_report_dt"] is None and not r["sale_flag"] for r in first)
+    assert all(r["sale_flag"] and r["price_previous_report_dt"] == 100.0 for r in second)
+    assert {r["latest_sale_dt"] for r in second} == {day("2024-10-17")}
+    assert {r["sale_count"] for r in first} == {0} and {r["sale_count"] for r in second} == {4}

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tests.helpers import bag, day
 from tidemark.operators.keys import latest_per_key, left_join, number_rows
-from tidemark.operators.sequences import segment_if_hot, with_neighbours, with_running
+from tidemark.operators.sequences import with_neighbours, with_running
 from tidemark.operators.streaks import status_streaks
 
 
@@ -51,13 +51,8 @@ def test_running_totals_equal_plain_window(skewed, segment):
     assert bag(found, *columns) == bag(expected, *columns)
 
 
-def test_segment_only_when_hot(skewed):
-    assert segment_if_hot(skewed, ["key"], F.col("pos"), limit=10) is not None
-    assert segment_if_hot(skewed, ["key"], F.col("pos"), limit=1000) is None
-
-
 def test_number_rows_is_the_order_of_digests(spark, skewed):
-    numbered = number_rows(skewed, ["pos"], hex_digits=1)
+    numbered = number_rows(skewed, ["pos"], buckets=16)
     expected = skewed.withColumn(
         "row_nbr", F.row_number().over(Window.orderBy(F.md5(F.col("pos").cast("string")), "pos"))
     )

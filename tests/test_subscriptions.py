@@ -125,7 +125,7 @@ def test_flags_and_periods(spark):
     assert column("became_bnpl_today") == [False, False, True, False, False]
     assert column("exited_bnpl_today") == [False, False, False, True, False]
     report = su.subscription_report(pipeline(spark, daily))
-    assert report.columns == su.REPORT_COLUMNS and report.count() == 5
+    assert report.columns == list(su.REPORT_COLUMNS) and report.count() == 5
 
 
 def test_two_subscriptions_of_one_protocol_fan_out_over_yesterday(spark):
@@ -142,3 +142,18 @@ def test_period_flags_add_one_exchange_per_period(spark):
     )
     explain = lambda df: spark._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "simple")
     assert explain(su.period_to_date(base)).count("Exchange") - explain(base).count("Exchange") <= 2
+
+
+def test_two_products_of_one_protocol_leave_one_row_whatever_the_partitions(spark):
+    def cancel(at, reason):
+        blank = [None] * 6
+        return (day("2025-07-02"), "u", "Weight Loss", ts("2025-07-01 20:00"), ts(at), day("2025-07-02"), None, 1, reason, True, False, *blank)
+
+    daily = state(spark, [sub("s", "2025-07-01")], "2025-07-02", cancels=[cancel("2025-07-02 20:00", "b"), cancel("2025-07-02 21:00", "a")])
+    assert daily.filter("date_day = date'2025-07-02'").count() == 2
+    seen = set()
+    for n in (1, 3, 7):
+        flags = pipeline(spark, daily.repartition(n)).filter("date_day = date'2025-07-02'").collect()
+        assert len(flags) == 1
+        seen.add((flags[0].system_cancellation_reason, flags[0].intended_cancellation_date))
+    assert len(seen) == 1

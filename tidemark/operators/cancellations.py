@@ -7,8 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import exists, local_date, local_datetime
 from tidemark.operators.intervals import expand_days
-from tidemark.operators.sequences import segment_if_hot, with_neighbours
-from tidemark.session import cut_lineage
+from tidemark.operators.sequences import with_neighbours
 
 # Event names, the reasons that mark a system-made cancellation,
 # the start of the first interval and the zone of the business day.
@@ -25,7 +24,12 @@ def _relevant(events: DataFrame) -> DataFrame:
     )
 
 
-def paired_events(events: DataFrame, segment: Column | None | str = "auto") -> DataFrame:
+def by_day() -> Column:
+    """The default cut of the event order."""
+    return F.to_date("created_at")
+
+
+def paired_events(events: DataFrame, segment: Column | None = None) -> DataFrame:
     """Reduce every run of equal events to one and name the event after it.
 
     From a run the newest ``created_at`` is kept, on a tie the lowest
@@ -34,13 +38,12 @@ def paired_events(events: DataFrame, segment: Column | None | str = "auto") -> D
     runs. What is left alternates, so the event after a cancel can only be an
     uncancel. Adds ``next_created_at``.
 
-    ``segment="auto"`` cuts the event order of a (user, product) into days when
-    one of them is large.
+    The event order of a (user, product) is cut into days, or finer by a
+    ``segment`` that does not decrease along it, for example the hour.
     """
     keys, order = ["admin_user_id", "product_name"], ["created_at", "version"]
     kept = _relevant(events)
-    if isinstance(segment, str):
-        segment = segment_if_hot(kept, keys, F.to_date("created_at"))
+    segment = by_day() if segment is None else segment
 
     stretch = with_neighbours(
         kept, keys, order, segment, lags={"_type": "event_type", "_time": "created_at"}
@@ -54,18 +57,19 @@ def paired_events(events: DataFrame, segment: Column | None | str = "auto") -> D
         .filter(F.col("_type").isNull() | (F.col("_type") != F.col("event_type")))
         .drop("_type")
     )
-    if segment is not None:
-        survivors = cut_lineage(survivors)
     return with_neighbours(survivors, keys, order, segment, leads={"next_created_at": "created_at"})
 
 
 def cancellation_timeline(
-    events: DataFrame, products: DataFrame, segment: Column | None | str = "auto"
+    events: DataFrame, products: DataFrame, segment: Column | None = None
 ) -> DataFrame:
-    """One row per effective cancellation with the interval it was in force."""
+    """One row per effective cancellation with the interval it was in force.
+
+    ``segment`` as in ``paired_events``. One plan for all sizes; nothing runs
+    before the result is asked for.
+    """
     keys, order = ["admin_user_id", "product_name"], ["created_at", "version"]
-    if isinstance(segment, str):
-        segment = segment_if_hot(_relevant(events), keys, F.to_date("created_at"))
+    segment = by_day() if segment is None else segment
     cancels = (
         paired_events(events, segment)
         .filter(F.col("event_type") == CANCELLED)

@@ -29,15 +29,15 @@ def expand_days(
     calendar: DataFrame,
     day: str = "day_date",
     last: Column | None = None,
-    gaps: bool = False,
+    contiguous: bool = False,
 ) -> DataFrame:
     """One row per calendar day ``d`` with ``start <= d < every end``.
 
     A null end is open and a null start gives no day. Intervals are clipped to
-    the calendar (and to ``last``, if given) before they are exploded, so an
-    interval costs exactly the days it yields; no day is compared with an
-    interval it lies outside of. ``gaps=True`` also drops days the calendar does
-    not list.
+    the calendar (and to ``last``, if given) before they are exploded, so no day is
+    compared with an interval it lies outside of; days between that the calendar
+    does not list are then dropped. ``contiguous`` says that it lists every day
+    from its first to its last, which saves that step.
     """
     bounds = calendar.agg(F.struct(F.min("date").alias("first"), F.max("date").alias("last")).alias("b")).scalar()
     first_day, last_day = bounds["first"], bounds["last"]
@@ -50,7 +50,7 @@ def expand_days(
     kept = bounded.filter(F.col(start).isNotNull() & (F.col("_from") < F.col("_until")))
     days = kept.withColumn(day, F.explode(F.sequence("_from", F.date_sub("_until", 1))))
     days = days.drop("_from", "_until")
-    if gaps:
+    if not contiguous:
         days = days.join(calendar.select(F.col("date").alias(day)).distinct(), day, "left_semi")
     return days
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -25,18 +26,19 @@ def left_join(
     on: Mapping[str, str] | Sequence[str],
     row_id: Sequence[str],
     condition: Column | None = None,
-    spread: int = 512,
+    spread: int | None = None,
 ) -> DataFrame:
     """Left equi-join that spreads rows without a key over many tasks.
 
     Rows whose key is null can match nothing, yet they would all hash to one
-    task. They get a salt taken from ``row_id``; the right side's salt is always
-    zero (written so that it is not folded away), so results are unchanged. Hot
+    task. They get a salt taken from ``row_id``, one of ``spread`` (by default four
+    per shuffle partition of the session); the right side's salt is always zero (written so that it is not folded away), so results are unchanged. Hot
     non-null keys are left to AQE's skew-join split.
 
     ``on`` maps left names to right names; right key columns are dropped.
     ``condition`` may add predicates over both sides.
     """
+    spread = spread or 4 * int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     pairs = dict(on) if isinstance(on, Mapping) else {k: k for k in on}
     missing = F.lit(False)
     for name in pairs:
@@ -66,15 +68,17 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows")).filter(F.col("n_rows") > 1)
 
 
-def number_rows(df: DataFrame, by: Sequence[str], name: str = "row_nbr", hex_digits: int = 3) -> DataFrame:
+def number_rows(df: DataFrame, by: Sequence[str], name: str = "row_nbr", buckets: int | None = None) -> DataFrame:
     """Number all rows from 1 without ever sorting them in one task.
 
-    Rows are ordered by the MD5 of ``by`` (then by the columns themselves). The
-    leading hex digits cut that order into ``16 ** hex_digits`` even buckets;
-    rows are numbered inside their bucket and shifted by the running size of the
-    buckets before it. Only the per-bucket counts, at most ``16 ** hex_digits``
-    rows, are ordered as a whole.
+    Rows are ordered by the MD5 of ``by`` (then by the columns themselves). Its
+    leading hex digits cut that order into even buckets, at least ``buckets`` of
+    them (by default 16 per shuffle partition of the session); rows are numbered
+    inside their bucket and shifted by the running size of the buckets before it.
+    Only the per-bucket counts are ordered as a whole.
     """
+    buckets = buckets or 16 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    hex_digits = max(1, math.ceil(math.log(buckets, 16)))
     text = F.concat_ws("\u0001", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in by])
     hashed = df.withColumn("_hash", F.md5(text)).withColumn("_bucket", F.substring("_hash", 1, hex_digits))
     before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)

@@ -35,7 +35,8 @@ def _whole() -> Window:
 
 
 def _so_far() -> Window:
-    return _by_day().rowsBetween(Window.unboundedPreceding, 0)
+    """All rows up to the day, that is with every copy of the day's own row."""
+    return _by_day().rangeBetween(Window.unboundedPreceding, 0)
 
 
 def city_state_zip(address: str) -> dict[str, Column]:
@@ -145,8 +146,10 @@ def standardise_dims(clean: DataFrame, map_community: DataFrame, map_plan: DataF
 def snapshot_changes(listings: DataFrame, communities: DataFrame) -> DataFrame:
     """Compare each snapshot with the homesite's one before; sale and cancel flags.
 
-    The snapshot before is the row before in date order (one row per homesite and
-    date), so it is read with ``lag`` instead of a second copy of the table.
+    A plan that stands in several chains gives several rows per homesite and day.
+    Each of a day's rows meets each of the previous report day's, so the result
+    has their product. Every homesite's day holds its previous rows as one list,
+    carried over from the day before by a window over days; the table is read once.
     """
     latest = latest_per_key(
         communities, ["community_id"], [F.col("report_date").desc_nulls_first(), F.col("area_name")]
@@ -158,15 +161,29 @@ def snapshot_changes(listings: DataFrame, communities: DataFrame) -> DataFrame:
     cancel = known_before & before.isin(*OFF_MARKET) & (status == FOR_SALE)
     took_effect = known_before & (F.coalesce(before, F.lit("")) == "") & (status == SOLD)
     until = F.when(status.isin(*OFF_MARKET), F.col("latest_sale_dt")).otherwise(F.col("report_date"))
+    previous = (
+        listings.groupBy("homesite_id", "report_date")
+        .agg(
+            F.collect_list(
+                F.struct(F.col("price").alias("price_previous_report_dt"), F.col("status").alias("status_previous_report_dt"))
+            ).alias("_rows")
+        )
+        .withColumn("_previous", F.lag("_rows").over(_by_day()))
+        .select(F.col("homesite_id").alias("_home"), F.col("report_date").alias("_day"), "_previous")
+    )
+    own_day = (F.col("homesite_id") == F.col("_home")) & (F.col("report_date") == F.col("_day"))
     return (
         left_join(listings, latest, ["community_id"], ["homesite_id", "report_date"])
+        .join(previous, own_day, "left")
+        .withColumn("_before", F.explode_outer("_previous"))
         .withColumns(
             {
-                "price_previous_report_dt": F.lag("price").over(_by_day()),
-                "status_previous_report_dt": F.lag("status").over(_by_day()),
+                "price_previous_report_dt": F.col("_before.price_previous_report_dt"),
+                "status_previous_report_dt": F.col("_before.status_previous_report_dt"),
                 "earliest_price": F.first("price", ignorenulls=True).over(_whole()),
             }
         )
+        .drop("_home", "_day", "_previous", "_before")
         .withColumn("sale_flag", exists(sale))
         .withColumn("cancel_flag", exists(cancel))
         .withColumns(
@@ -208,13 +225,43 @@ def days_on_market(changes: DataFrame) -> DataFrame:
     ).withColumn("days_on_market", days)
 
 
-REPORT_COLUMNS = """
-daily_homesite_key report_date company area_name homesite_id community_id community_name street_address
-city state zip_code floor_plan bed bath garage sqft story price price_previous_report_dt price_chg_dod
-earliest_price status status_previous_report_dt days_since_first_listed days_on_market
-first_seen_avail_dt last_seen_avail_dt latest_sale_dt latest_cancel_dt first_seen_avail_flag
-last_seen_avail_flag sale_flag cancel_flag prefect_uploaded_at
-""".split()
+# The columns of the reporting table.
+REPORT_COLUMNS = (
+    "daily_homesite_key",
+    "report_date",
+    "company",
+    "area_name",
+    "homesite_id",
+    "community_id",
+    "community_name",
+    "street_address",
+    "city",
+    "state",
+    "zip_code",
+    "floor_plan",
+    "bed",
+    "bath",
+    "garage",
+    "sqft",
+    "story",
+    "price",
+    "price_previous_report_dt",
+    "price_chg_dod",
+    "earliest_price",
+    "status",
+    "status_previous_report_dt",
+    "days_since_first_listed",
+    "days_on_market",
+    "first_seen_avail_dt",
+    "last_seen_avail_dt",
+    "latest_sale_dt",
+    "latest_cancel_dt",
+    "first_seen_avail_flag",
+    "last_seen_avail_flag",
+    "sale_flag",
+    "cancel_flag",
+    "prefect_uploaded_at",
+)
 
 
 def listing_report(

@@ -16,9 +16,24 @@ from tidemark.session import cut_lineage
 
 # The seventeen score columns.
 CATEGORIES = (
-    "anxiety diet focus energy mood mental_clarity sleep weight_loss skin strength sex_drive confidence "
-    "relaxation erectile_function hair_growth exercise general"
-).split()
+    "anxiety",
+    "diet",
+    "focus",
+    "energy",
+    "mood",
+    "mental_clarity",
+    "sleep",
+    "weight_loss",
+    "skin",
+    "strength",
+    "sex_drive",
+    "confidence",
+    "relaxation",
+    "erectile_function",
+    "hair_growth",
+    "exercise",
+    "general",
+)
 BATCH_SIZE = 20
 SCORED_SINCE = dt.date(2024, 1, 1)
 

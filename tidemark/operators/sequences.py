@@ -8,8 +8,8 @@ window; the largest sort is one segment instead of one key.
 
 ``segment`` must not decrease along ``order``. Orders are ascending with nulls
 first and must be total within a key. With ``segment=None`` the plain window is
-used, which is the cheaper plan while every key is known to be small; see
-``segment_if_hot``.
+used; that is for callers whose keys are bounded by what they are, such as one
+row per week.
 """
 
 from __future__ import annotations
@@ -39,19 +39,6 @@ def _across(keys: Sequence[str]):
     return Window.partitionBy(*owner).orderBy(F.col(_GROUP)[_SEGMENT].asc_nulls_first())
 
 
-def segment_if_hot(
-    df: DataFrame, keys: Sequence[str], segment: Column, limit: int = 1_000_000
-) -> Column | None:
-    """``segment`` when some key holds more than ``limit`` rows, else ``None``.
-
-    Counts rows per key (pre-aggregated on the map side) and brings back one
-    number.
-    """
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    largest = sizes.agg(F.max("n")).first()[0]
-    return segment if (largest or 0) > limit else None
-
-
 def with_neighbours(
     df: DataFrame,
     keys: Sequence[str],

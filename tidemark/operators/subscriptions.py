@@ -187,6 +187,32 @@ def subscription_daily(
     return joined.withColumns(derived).drop(*helpers)
 
 
+_TIE_BREAK = (
+    "subscription_cancelled",
+    "intended_cancellation_date",
+    "intended_cancellation_dt_pst",
+    "is_cancelled_today",
+    "has_future_intended_cancellation",
+    "is_autocancel",
+    "system_cancellation_reason",
+    "billing_issue_unresolved",
+    "pause_at",
+    "resume_at",
+    "last_transaction_date",
+    "active_mm_plan",
+    "mm_plan",
+    "product_category_2",
+    "billing_cycle_days",
+    "is_bnpl",
+    "is_bnpl_fod",
+    "contains_bb",
+    "contains_appt",
+    "admin_email",
+    "renewal_or_end_date",
+    "tenure_months",
+)
+
+
 def _yesterday(partition: Sequence[str]) -> Window:
     day_number = F.datediff("date_day", F.lit("1970-01-01").cast("date"))
     return Window.partitionBy(*partition).orderBy(day_number).rangeBetween(-1, -1)
@@ -206,7 +232,12 @@ def day_over_day_flags(
     unique = latest_per_key(
         paused,
         ["date_day", "admin_user_id", "protocol", "subscription_sequence"],
-        [F.col("past_paused_at").desc_nulls_last(), F.col("future_paused_at").asc_nulls_first(), F.col("uuid")],
+        [
+            F.col("past_paused_at").desc_nulls_last(),
+            F.col("future_paused_at").asc_nulls_first(),
+            # Two products of one protocol give a day several rows of one subscription.
+            *[F.col(c).asc_nulls_first() for c in ("uuid", *_TIE_BREAK) if c in paused.columns],
+        ],
     )
     same = _yesterday(["admin_user_id", "uuid"])
     known = F.col("uuid").isNotNull()
@@ -320,25 +351,91 @@ def period_to_date(transitions: DataFrame) -> DataFrame:
     return transitions.drop("_start")
 
 
-REPORT_COLUMNS = """
-uuid date_day subscription_uuid admin_user_id admin_email protocol user_protocol protocol_expanded
-product_category_2 subscription_sequence next_subscription_sequence start_date start_dt_pst start_date_pst
-next_start_date next_start_date_pst active_mm_plan mm_plan billing_cycle_days subscription_length
-subscription_length_int tenure_months last_transaction_date last_transaction_dt billing_issue_unresolved
-renewal_or_end_date subscription_cancelled cancellation_reason system_cancellation_reason
-intended_cancellation_date intended_cancellation_pst intended_cancellation_dt_pst
-has_future_intended_cancellation pause_at resume_at past_pause past_pause_at past_resume_at future_pause
-future_pause_at future_resume_at is_autocancel is_active is_paused is_cancelled is_cancelled_today
-has_billing_issue is_active_past_renewal has_plan_change has_old_transaction
-has_transaction_within_past_year is_past_renewal_date paused_today cancelled_today reactivated_today is_bnpl
-is_bnpl_fod contains_bb contains_appt is_new_subscription is_new_user is_new_protocol_user
-is_new_user_this_week is_new_protocol_user_this_week is_new_user_this_month
-is_new_protocol_user_this_month became_bnpl_today exited_bnpl_today reactivated_user_this_week
-reactivated_sub_this_week reactivated_user_this_month reactivated_sub_this_month became_bnpl_user_this_week
-became_bnpl_sub_this_week exited_bnpl_user_this_week exited_bnpl_sub_this_week became_bnpl_user_this_month
-became_bnpl_sub_this_month exited_bnpl_user_this_month exited_bnpl_sub_this_month switch_lag
-current_date_pst
-""".split()
+# The columns of the reporting table.
+REPORT_COLUMNS = (
+    "uuid",
+    "date_day",
+    "subscription_uuid",
+    "admin_user_id",
+    "admin_email",
+    "protocol",
+    "user_protocol",
+    "protocol_expanded",
+    "product_category_2",
+    "subscription_sequence",
+    "next_subscription_sequence",
+    "start_date",
+    "start_dt_pst",
+    "start_date_pst",
+    "next_start_date",
+    "next_start_date_pst",
+    "active_mm_plan",
+    "mm_plan",
+    "billing_cycle_days",
+    "subscription_length",
+    "subscription_length_int",
+    "tenure_months",
+    "last_transaction_date",
+    "last_transaction_dt",
+    "billing_issue_unresolved",
+    "renewal_or_end_date",
+    "subscription_cancelled",
+    "cancellation_reason",
+    "system_cancellation_reason",
+    "intended_cancellation_date",
+    "intended_cancellation_pst",
+    "intended_cancellation_dt_pst",
+    "has_future_intended_cancellation",
+    "pause_at",
+    "resume_at",
+    "past_pause",
+    "past_pause_at",
+    "past_resume_at",
+    "future_pause",
+    "future_pause_at",
+    "future_resume_at",
+    "is_autocancel",
+    "is_active",
+    "is_paused",
+    "is_cancelled",
+    "is_cancelled_today",
+    "has_billing_issue",
+    "is_active_past_renewal",
+    "has_plan_change",
+    "has_old_transaction",
+    "has_transaction_within_past_year",
+    "is_past_renewal_date",
+    "paused_today",
+    "cancelled_today",
+    "reactivated_today",
+    "is_bnpl",
+    "is_bnpl_fod",
+    "contains_bb",
+    "contains_appt",
+    "is_new_subscription",
+    "is_new_user",
+    "is_new_protocol_user",
+    "is_new_user_this_week",
+    "is_new_protocol_user_this_week",
+    "is_new_user_this_month",
+    "is_new_protocol_user_this_month",
+    "became_bnpl_today",
+    "exited_bnpl_today",
+    "reactivated_user_this_week",
+    "reactivated_sub_this_week",
+    "reactivated_user_this_month",
+    "reactivated_sub_this_month",
+    "became_bnpl_user_this_week",
+    "became_bnpl_sub_this_week",
+    "exited_bnpl_user_this_week",
+    "exited_bnpl_sub_this_week",
+    "became_bnpl_user_this_month",
+    "became_bnpl_sub_this_month",
+    "exited_bnpl_user_this_month",
+    "exited_bnpl_sub_this_month",
+    "switch_lag",
+    "current_date_pst",
+)
 
 
 def subscription_report(flags: DataFrame) -> DataFrame:

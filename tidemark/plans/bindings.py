@@ -7,7 +7,6 @@ the same derivations is in ``oracle.py``.
 from __future__ import annotations
 
 import datetime as dt
-import functools
 import json
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -25,6 +24,25 @@ from tidemark.sources import tables
 
 PROTOCOLS = ("Weight Loss", "Mood, Stress & Sleep", "Testosterone")
 LISTING_FLOOR = dt.date(2024, 1, 2)
+CHANGE_COLUMNS = (
+    "homesite_id",
+    "report_date",
+    "area_name",
+    "comm_first_seen_avail_dt",
+    "price",
+    "status",
+    "price_previous_report_dt",
+    "status_previous_report_dt",
+    "price_chg_dod",
+    "sale_flag",
+    "cancel_flag",
+    "earliest_price",
+    "latest_sale_dt",
+    "latest_cancel_dt",
+    "days_since_first_listed",
+    "first_seen_avail_flag",
+    "last_seen_avail_flag",
+)
 UPSERT_CUT = "1998-06-01T00:00:00.000Z"
 SCORED_AT = "2024-06-01 00:00:00"
 
@@ -42,9 +60,8 @@ def events(spark: SparkSession, folder: str) -> DataFrame:
     return load(spark, folder, "events").withColumn("k", F.get_json_object("props", "$.k").cast("bigint"))
 
 
-@functools.lru_cache(maxsize=256)
 def load(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """A benchmark table; its footer is read once per session."""
+    """A benchmark table."""
     return tables.load(spark, folder, name)
 
 

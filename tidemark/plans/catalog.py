@@ -123,10 +123,7 @@ def _changes(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def q_listing_changes(spark: SparkSession, folder: str) -> DataFrame:
-    columns = """homesite_id report_date area_name comm_first_seen_avail_dt price status price_previous_report_dt
-    status_previous_report_dt price_chg_dod sale_flag cancel_flag earliest_price latest_sale_dt latest_cancel_dt
-    days_since_first_listed first_seen_avail_flag last_seen_avail_flag""".split()
-    return plain(_changes(spark, folder).select(*columns))
+    return plain(_changes(spark, folder).select(*b.CHANGE_COLUMNS))
 
 
 def q_days_on_market(spark: SparkSession, folder: str) -> DataFrame:
