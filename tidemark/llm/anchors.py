@@ -52,10 +52,12 @@ _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
 class WordHashes(dict):
-    def __missing__(self, word: bytes) -> int:
+    """Word to the eight bytes of its hash, lowest first; fills itself."""
+
+    def __missing__(self, word: bytes) -> bytes:
         if len(self) >= WORD_MEMO:
             self.clear()
-        self[word] = value = xxhash.xxh64_intdigest(word)
+        self[word] = value = xxhash.xxh64_digest(word)[::-1]
         return value
 
 
@@ -68,7 +70,8 @@ class Words:
         self.sizes = np.array([len(w) for w in words], np.int64)
         self.first = np.cumsum(self.sizes) - self.sizes
         memo = WordHashes()
-        self.hashes = np.array([h for w in words for h in map(memo.__getitem__, w)], np.uint64)
+        joined = b"".join(b"".join(map(memo.__getitem__, w)) for w in words)
+        self.hashes = np.frombuffer(joined, "<u8").astype(np.uint64)
         self.owner = np.repeat(np.arange(len(words)), self.sizes)
         self.place = np.arange(len(self.hashes)) - self.first[self.owner]
         self.doc = ordered(ids)[self.owner]
@@ -110,24 +113,13 @@ def _unpacked(state: list[bytes], window: int) -> Words:
     return Words(numbers, known, [t.split(b" ") if t else [] for t in texts], window)
 
 
-def _scan(docs: DataFrame, window: int, buckets: int) -> DataFrame:
+def _scan(docs: DataFrame) -> DataFrame:
+    """The words of all documents in batches."""
+
     def closed(ids: list[int | None], texts: list[list[bytes]]) -> pa.RecordBatch:
-        name = uuid.uuid4().hex
         numbers, known = np.array([i or 0 for i in ids], np.int64), np.array([i is not None for i in ids])
-        packed = zstandard.compress(b"\n".join(b" ".join(t) for t in texts), 1)
-        found: list[tuple] = [(name, STATE, [pack(numbers.view(np.uint64)), pack(known), packed])]
-        words = Words(numbers, known, texts, window)
-        starts, hashes = words.probes()
-        asked = np.unique(hashes)
-        aligned = words.place[starts] % words.block == 0
-        offered, offering = least_by_key(hashes[aligned], words.doc[starts[aligned]])
-        a, b = edges_by_range(asked, ANCHOR_BITS, buckets), edges_by_range(offered, ANCHOR_BITS, buckets)
-        latest = int(words.doc[starts].max()) if len(starts) else 0
-        for bucket in np.flatnonzero((np.diff(a) > 0)).tolist():
-            mine, theirs = slice(a[bucket], a[bucket + 1]), slice(b[bucket], b[bucket + 1])
-            parts = [pack_sorted(asked[mine]), pack_sorted(offered[theirs]), pack(offering[theirs]), pack(np.array([latest], np.uint64))]
-            found.append((name, bucket, parts))
-        return rows(found)
+        packed = zstandard.compress(b"\n".join(b" ".join(t) for t in texts), 3)
+        return rows([(uuid.uuid4().hex, STATE, [pack(numbers.view(np.uint64)), pack(known), packed])])
 
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, texts, total = [], [], 0
@@ -146,6 +138,21 @@ def _scan(docs: DataFrame, window: int, buckets: int) -> DataFrame:
     return docs.mapInArrow(over, ROW)
 
 
+def _ask_blocks(words: Words, name: str, buckets: int) -> list[tuple]:
+    starts, hashes = words.probes()
+    asked = np.unique(hashes)
+    aligned = words.place[starts] % words.block == 0
+    offered, offering = least_by_key(hashes[aligned], words.doc[starts[aligned]])
+    a, b = edges_by_range(asked, ANCHOR_BITS, buckets), edges_by_range(offered, ANCHOR_BITS, buckets)
+    latest = int(words.doc[starts].max()) if len(starts) else 0
+    found = []
+    for bucket in np.flatnonzero(np.diff(a) > 0).tolist():
+        mine, theirs = slice(a[bucket], a[bucket + 1]), slice(b[bucket], b[bucket + 1])
+        parts = [pack_sorted(asked[mine]), pack_sorted(offered[theirs]), pack(offering[theirs]), pack(np.array([latest], np.uint64))]
+        found.append((name, bucket, parts))
+    return found
+
+
 def _match_blocks(questions: DataFrame) -> DataFrame:
     """To each batch: for its probes the earliest document that has the block; which of its blocks others probe."""
 
@@ -243,8 +250,12 @@ def drop_repeats(
     """
     spark = docs.sparkSession
     buckets = buckets or partitions(spark)
-    scanned = scan(_scan(id_and_text(docs, id_col, text_col), window, buckets), partitions(spark))
-    blocks = cut_lineage(_match_blocks(scanned.questions))
+    scanned = scan(_scan(id_and_text(docs, id_col, text_col)), partitions(spark))
+
+    def ask_blocks(name: str, state: list[bytes], answers: dict[int, list[bytes]]) -> Iterator[list[tuple]]:
+        yield _ask_blocks(_unpacked(state, window), name, buckets)
+
+    blocks = cut_lineage(_match_blocks(each_row(with_answers(scanned.states), ask_blocks, ROW, rows)))
 
     def ask(name: str, state: list[bytes], answers: dict[int, list[bytes]]) -> Iterator[list[tuple]]:
         yield _ask_windows(_unpacked(state, window), name, answers, buckets)

@@ -103,6 +103,8 @@ def scan(batches: DataFrame, n: int) -> Scan:
 
 def with_answers(states: DataFrame, *answers: DataFrame) -> DataFrame:
     """(batch, parts, answers) of each state with all its answers; an answer frame may follow several questions."""
+    if not answers:
+        return states.withColumn("answers", F.lit(None).cast("array<struct<bucket:int,parts:array<binary>>>"))
     together = answers[0]
     for more in answers[1:]:
         together = together.unionByName(more)
