@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import local_date
 from tidemark.operators.cancellations import BUSINESS_ZONE, CANCELLED, UNCANCELLED
-from tidemark.operators.intervals import calendar_of, expand_days
+from tidemark.operators.intervals import calendar_days, calendar_of, expand_days
 from tidemark.operators.keys import latest_per_key
 from tidemark.operators.requests import FAVOURITE_CODES, NAME_EXTENSION, PHARMACY_NOTE, SNOMED_CODES, TEMPLATE_NOTE
 from tidemark.operators.scoring import CATEGORIES, Scorer
@@ -217,20 +217,15 @@ def cancel_events(spark: SparkSession, folder: str) -> DataFrame:
 def products(spark: SparkSession, folder: str) -> DataFrame:
     """Product names and their protocols."""
     numbers = events(spark, folder).select((F.col("k") % 3).alias("n")).distinct()
-    return cut_lineage(
-        numbers.select(
-            F.concat(F.lit("product_"), F.col("n").cast("string")).alias("product_name"),
-            pick(F.col("n"), *PROTOCOLS).alias("protocol"),
-        )
+    return numbers.select(
+        F.concat(F.lit("product_"), F.col("n").cast("string")).alias("product_name"),
+        pick(F.col("n"), *PROTOCOLS).alias("protocol"),
     )
 
 
-# Dimensions are written before they are used: they are read many times per query.
-
-
 def event_calendar(spark: SparkSession, folder: str) -> DataFrame:
     """Every day from the first to the last event, in UTC."""
-    return cut_lineage(calendar_of(events(spark, folder), F.to_date("ts")))
+    return calendar_of(events(spark, folder), F.to_date("ts"))
 
 
 # --- subscriptions -----------------------------------------------------------------
@@ -295,8 +290,13 @@ def pauses(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def business_calendar(spark: SparkSession, folder: str) -> DataFrame:
-    """Every business day from the first to the last event."""
-    return cut_lineage(calendar_of(events(spark, folder), local_date(F.col("ts"), BUSINESS_ZONE)))
+    """Every business day from the first to the last event.
+
+    The two bounds are asked for once, as a subscription query reads the calendar in a dozen places.
+    """
+    day = local_date(F.col("ts"), BUSINESS_ZONE)
+    first, last = events(spark, folder).agg(F.min(day), F.max(day)).first()
+    return calendar_days(spark, first, last) if first else calendar_of(events(spark, folder), day)
 
 
 def last_business_day(calendar: DataFrame) -> Column:
@@ -491,9 +491,10 @@ def organizations(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def bundles(spark: SparkSession, folder: str) -> DataFrame:
-    """Request versions nested back into pages of two entries, through JSON text."""
+def bundles(spark: SparkSession, folder: str, wanted: Column | None = None) -> DataFrame:
+    """Request versions (the ``wanted`` ones) nested back into pages of two entries, through JSON text."""
     flat = request_versions(spark, folder)
+    flat = flat if wanted is None else flat.filter(wanted)
 
     def reference(role: str) -> Column:
         return F.struct(F.col(f"{role}_reference").alias("reference"), F.col(f"{role}_display").alias("display"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,9 +15,9 @@ from tidemark.operators.intervals import expand_days, nearest_pauses, point_in_t
 from tidemark.operators.keys import latest_per_key
 from tidemark.operators.streaks import status_streaks
 from tidemark.plans import bindings as b
-from tidemark.session import cut_lineage
-from tidemark.sources.bundles import flatten_bundles
-from tidemark.sources.upsert import high_water_mark, newer_than_target, run_record, upsert
+from tidemark.session import checkpoint_dir, cut_lineage
+from tidemark.sources.bundles import FLAT_SCHEMA, flatten_bundles, read_bundles
+from tidemark.sources.upsert import KeyedTable, high_water_mark, newer_than_target, run_record, sync, upsert
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -108,7 +109,7 @@ def q_listing_clean(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _named(spark: SparkSession, folder: str) -> DataFrame:
-    clean = cut_lineage(_clean(spark, folder))
+    clean = _clean(spark, folder)
     communities = b.community_map(spark, folder)
     return listings.standardise_dims(clean, communities, b.plan_map(clean, communities))
 
@@ -155,7 +156,7 @@ def q_interval_days(spark: SparkSession, folder: str) -> DataFrame:
 
 def _cancel_days(spark: SparkSession, folder: str, calendar: DataFrame) -> DataFrame:
     products = b.products(spark, folder)
-    return cancel_daily(cut_lineage(_timeline(spark, folder, products)), calendar, products)
+    return cancel_daily(_timeline(spark, folder, products), calendar, products)
 
 
 def q_cancel_daily(spark: SparkSession, folder: str) -> DataFrame:
@@ -275,7 +276,7 @@ def q_enrich_requests(spark: SparkSession, folder: str) -> DataFrame:
         b.deleted_requests(spark, folder),
         b.dispenses(spark, folder),
         b.pharmacy_shipments(spark, folder),
-        b.patient_periods(spark, folder, "dim_").filter(F.col("admin_user_id").endswith("_new")),
+        b.patient_periods(spark, folder, "dim_"),
         provider="main",
         medication_category=b.medication_category,
         combined_medications=["red widget", "blue bolt", "small ring"],
@@ -291,16 +292,13 @@ def q_flatten_bundles(spark: SparkSession, folder: str) -> DataFrame:
 
 # --- upsert --------------------------------------------------------------------
 
-_VERSION = ["id", "status", "meta_versionid", "meta_lastupdated", "dispenserequest_quantity_value"]
-
-
 def _newest_first() -> list[Column]:
     return [F.col("meta_lastupdated").desc(), F.col("meta_versionid").desc()]
 
 
 def _loaded_before(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     """The table as an earlier run left it, and everything the source offers now."""
-    source = b.request_versions(spark, folder).select(*_VERSION)
+    source = b.request_versions(spark, folder)
     earlier = source.filter(F.col("meta_lastupdated") <= b.UPSERT_CUT)
     return latest_per_key(earlier, ["id"], _newest_first()), source
 
@@ -314,10 +312,27 @@ def q_upsert(spark: SparkSession, folder: str) -> DataFrame:
 def q_high_water_mark(spark: SparkSession, folder: str) -> DataFrame:
     target, source = _loaded_before(spark, folder)
     target = cut_lineage(target)
-    record = run_record(newer_than_target(source, target), F.lit(b.SCORED_AT).cast("timestamp"))
+    stamp = F.lit(b.SCORED_AT).cast("timestamp")
+    first = run_record(source.filter(F.col("meta_lastupdated") <= b.UPSERT_CUT), stamp)
+    record = run_record(
+        newer_than_target(source, target), stamp, synced_before=first.select("records_synced").scalar()
+    )
     return plain(record.withColumn("previous_mark", high_water_mark(target).scalar()))
 
 
+def q_landed_upsert(spark: SparkSession, folder: str) -> DataFrame:
+    """Pages landed as files in two runs, flattened and merged into a table with all columns."""
+    place = f"{checkpoint_dir(spark)}/{uuid.uuid4().hex}"
+    stamp = F.lit(b.SCORED_AT).cast("timestamp")
+    table = KeyedTable(spark, f"{place}/table", FLAT_SCHEMA)
+    newer = F.col("meta_lastupdated") > b.UPSERT_CUT
+    for run, part in enumerate((~newer, newer)):
+        b.bundles(spark, folder, part).write.json(f"{place}/landed/run={run}")
+        landed = flatten_bundles(read_bundles(spark, f"{place}/landed/*"), stamp)
+        sync(table, landed, first_mark="", run_ts=stamp, newest_first=_newest_first())
+    return plain(table.read())
+
+
 # --- scoring -------------------------------------------------------------------
 
 
@@ -349,8 +364,7 @@ def _parsed(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
 
 def q_parse_scores(spark: SparkSession, folder: str) -> DataFrame:
     parsed, _ = _parsed(spark, folder)
-    columns = ["batch_id", "batch_complete", "uuid", "is_new", "is_unscorable", "anxiety", "diet", "general"]
-    return parsed.select(*columns)
+    return parsed
 
 
 def q_score_summary(spark: SparkSession, folder: str) -> DataFrame:

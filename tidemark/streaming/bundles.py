@@ -8,7 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.session import cut_lineage
 from tidemark.sources.bundles import BUNDLE_SCHEMA, flatten_bundles
-from tidemark.sources.upsert import VersionedTable, upsert
+from tidemark.sources.upsert import KeyedTable
 
 
 def bundle_stream(spark: SparkSession, path: str, files_per_batch: int = 1000) -> DataFrame:
@@ -21,21 +21,20 @@ def bundle_stream(spark: SparkSession, path: str, files_per_batch: int = 1000) -
     )
 
 
-def keep_newest(batch: DataFrame, table: VersionedTable) -> None:
+def keep_newest(batch: DataFrame, table: KeyedTable) -> None:
     """Upsert one micro-batch; a re-delivered or older version changes nothing."""
     if batch.isEmpty():
         return
-    target = table.read()
-    known = target.select("id", F.col("meta_lastupdated").alias("_known"))
+    known = table.read().select("id", F.col("meta_lastupdated").alias("_known"))
     fresh = cut_lineage(
         batch.join(known, "id", "left")
         .filter(F.col("_known").isNull() | (F.col("meta_lastupdated") > F.col("_known")))
         .drop("_known")
     )
-    table.replace(upsert(target, fresh, "id", [F.col("meta_lastupdated").desc_nulls_last()]))
+    table.merge(fresh, [F.col("meta_lastupdated").desc_nulls_last()])
 
 
-def stream_into(table: VersionedTable, pages: DataFrame, checkpoint: str) -> StreamingQuery:
+def stream_into(table: KeyedTable, pages: DataFrame, checkpoint: str) -> StreamingQuery:
     """Run everything that has landed through the upsert, then stop.
 
     The checkpoint remembers which files were taken; since ``keep_newest`` gives
