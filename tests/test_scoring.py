@@ -123,7 +123,7 @@ def test_whole_run_and_rerun(spark):
             raise RuntimeError("service down")
         return "\n".join(json.dumps({"uuid": r["uuid"], "mood": len(r["goals_freeform"])}) for r in batch)
 
-    parsed, asked = sc.score_freeform(source, scored, scorer, run_ts(), "m")
+    parsed, asked, _ = sc.score_freeform(source, scored, scorer, run_ts(), "m")
     first = sc.cut_lineage(sc.accepted(parsed))
     summary = sc.run_summary(asked, parsed).first()
     assert first.schema.names == sc.SCORED_SCHEMA.names
@@ -131,8 +131,34 @@ def test_whole_run_and_rerun(spark):
     assert summary.failed in (10, 20) and first.count() == summary.written
     assert {r.mood for r in first.collect()} <= {8, 9}
     # The failed batch is what a second run finds.
-    again, asked = sc.score_freeform(source, first, lambda text, batch: "\n".join(
+    again, asked, _ = sc.score_freeform(source, first, lambda text, batch: "\n".join(
         json.dumps({"uuid": r["uuid"]}) for r in batch), run_ts(), "m")
     assert asked.count() == summary.failed and sc.accepted(again).count() == summary.failed
     assert {r.is_unscorable for r in again.collect()} == {True}
     assert sc.run_summary(asked.limit(0), again.limit(0)).first().status == "success"
+
+
+def test_the_job_appends_complete_batches_and_asks_again_for_the_rest(spark, tmp_path):
+    source = spark.createDataFrame(
+        [(f"u{i}", "a text", "p", "New", ts("2024-02-01 00:00")) for i in range(5)],
+        "uuid string, goals_freeform string, protocol string, new_refill string, intake_completed_at timestamp",
+    )
+    path = str(tmp_path / "scored")
+
+    def scorer(text, batch):
+        if any(r["uuid"] == "u1" for r in batch):
+            raise ValueError("no answer")
+        lines = "\n".join(scores(r["uuid"], anxiety=1) for r in batch)
+        return lines, 2000 if any(r["uuid"] == "u2" for r in batch) else 5
+
+    first = sc.score_into(path, source, scorer, run_ts(), "m", size=1, accept=sc.long_enough()).first()
+    assert (first.status, first.written, first.failed, first.errors, first.tokens) == ("partial", 1, 4, 1, 2015)
+
+    def second(text, batch):
+        return "\n".join(scores(r["uuid"], anxiety=0) for r in batch), 1000
+
+    again = sc.score_into(path, source, second, run_ts(), "m", size=1, accept=sc.long_enough()).first()
+    assert (again.status, again.written, again.total, again.errors) == ("success", 4, 4, 0)
+    table = spark.read.parquet(path)
+    assert sorted(r.uuid for r in table.collect()) == [f"u{i}" for i in range(5)]
+    assert sc.score_into(path, source, second, run_ts(), "m").first().total == 0

@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from tidemark.functions import exists
 from tidemark.operators.keys import latest_per_key, number_rows
 from tidemark.session import cut_lineage
+from tidemark.sources.tables import append_rows, read_or_empty
 
 # The seventeen score columns.
 CATEGORIES = (
@@ -50,8 +51,12 @@ SCORED_SCHEMA = T.StructType(
     ]
 )
 
-# A scorer gets the batch as text and as rows and returns the raw response text.
-Scorer = Callable[[str, list[dict]], str]
+# A scorer gets the batch as text and as rows and returns the raw response text, or
+# the text and the number of tokens it was written with.
+Scorer = Callable[[str, list[dict]], str | tuple[str, int]]
+
+# Fixed value: a response of fewer tokens counts as cut off.
+LEAST_TOKENS = 1000
 
 # An object with at most one level of objects inside, written so that the
 # matcher loops per inner object and not per character.
@@ -106,20 +111,32 @@ def batch_texts(numbered: DataFrame, heading: str = "", closing: str = "") -> Da
     )
 
 
+def long_enough(least: int = LEAST_TOKENS) -> Column:
+    """Keeps responses with text and, where the scorer counts tokens, enough of them."""
+    counted = F.col("tokens").isNull() | (F.col("tokens") >= least)
+    return (F.trim(F.coalesce("response", F.lit(""))) != "") & counted
+
+
 def run_scorer(batches: DataFrame, scorer: Scorer) -> DataFrame:
-    """Call the scorer once per batch; a batch it fails on gets a null response."""
+    """Call the scorer once per batch: (batch_id, response, tokens, error).
+
+    A batch it fails on gets no response but the error's text.
+    """
 
     def respond(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            answers = []
-            for text, rows in zip(frame["text"], frame["rows"], strict=True):
+            found = []
+            for batch, text, rows in zip(frame["batch_id"], frame["text"], frame["rows"], strict=True):
                 try:
-                    answers.append(scorer(text, [r if isinstance(r, dict) else r.asDict() for r in rows]))
-                except Exception:  # noqa: BLE001 - any failure leaves the batch for the next run
-                    answers.append(None)
-            yield pd.DataFrame({"batch_id": frame["batch_id"], "response": answers})
+                    answer = scorer(text, [r if isinstance(r, dict) else r.asDict() for r in rows])
+                    response, tokens = answer if isinstance(answer, tuple) else (answer, None)
+                    found.append((batch, response, tokens, None))
+                except Exception as error:  # noqa: BLE001 - any failure leaves the batch for the next run
+                    found.append((batch, None, None, f"{type(error).__name__}: {error}"))
+            made = pd.DataFrame(found, columns=["batch_id", "response", "tokens", "error"])
+            yield made.astype({"batch_id": "int64", "response": object, "tokens": "Int64", "error": object})
 
-    return batches.mapInPandas(respond, "batch_id bigint, response string")
+    return batches.mapInPandas(respond, "batch_id bigint, response string, tokens bigint, error string")
 
 
 def _objects(text: Column) -> Column:
@@ -214,8 +231,12 @@ def accepted(parsed: DataFrame) -> DataFrame:
     return parsed.filter("batch_complete").select(*SCORED_SCHEMA.names)
 
 
-def run_summary(requests: DataFrame, parsed: DataFrame) -> DataFrame:
-    """One row: how many rows were asked for, written and failed, and the status."""
+def run_summary(requests: DataFrame, parsed: DataFrame, responses: DataFrame | None = None) -> DataFrame:
+    """One row: how many rows were asked for, written and failed, and the status.
+
+    With the scorer's ``responses`` also ``errors``, the batches it failed on, and
+    ``tokens``, what it wrote in all.
+    """
     asked = requests.agg(F.count(F.lit(1)).alias("n")).scalar()
     counts = parsed.agg(F.coalesce(F.count_if("batch_complete"), F.lit(0)).alias("written"))
     written, failed = F.col("written"), F.col("failed")
@@ -227,10 +248,18 @@ def run_summary(requests: DataFrame, parsed: DataFrame) -> DataFrame:
             "status",
             F.when(failed == 0, "success").when(written > 0, "partial").otherwise("failed"),
         )
-        .select("status", "processed", "written", "failed", "total")
+        .select("status", "processed", "written", "failed", "total", *_usage(responses))
     )
 
 
+def _usage(responses: DataFrame | None) -> list[Column]:
+    if responses is None:
+        return []
+    count = responses.agg(F.count("error").alias("n")).scalar()
+    tokens = responses.agg(F.coalesce(F.sum("tokens"), F.lit(0)).alias("n")).scalar()
+    return [count.alias("errors"), tokens.alias("tokens")]
+
+
 def score_freeform(
     source: DataFrame,
     scored: DataFrame,
@@ -240,12 +269,34 @@ def score_freeform(
     size: int = BATCH_SIZE,
     since: dt.date = SCORED_SINCE,
     limit: int | None = None,
-) -> tuple[DataFrame, DataFrame]:
-    """(parsed scores, numbered requests) for everything not scored yet.
+    accept: Column | None = None,
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(parsed scores, numbered requests, responses) for everything not scored yet.
+
+    ``accept``, for example ``long_enough()``, rejects responses before they are read.
 
     Responses are written once before they are parsed: the scorer is an outside
     call and must not be repeated by a second reader or a lost executor.
     """
     requests = cut_lineage(number_batches(unscored(source, scored, since, limit), size))
     responses = cut_lineage(run_scorer(batch_texts(requests), scorer))
-    return parse_scores(responses, requests, run_ts, model_version), requests
+    return parse_scores(responses, requests, run_ts, model_version, accept), requests, responses
+
+
+def score_into(
+    path: str, source: DataFrame, scorer: Scorer, run_ts: Column, model_version: str, **options
+) -> DataFrame:
+    """One run of the scoring job: score what ``path`` lacks, append what is complete, return the summary.
+
+    Rows of batches that failed are not in the table and so are asked again by the
+    next run. ``options`` are those of ``score_freeform``.
+    """
+    spark = source.sparkSession
+    scored = read_or_empty(spark, path, SCORED_SCHEMA)
+    parsed, requests, responses = score_freeform(source, scored, scorer, run_ts, model_version, **options)
+    parsed = cut_lineage(parsed)
+    summary = run_summary(requests, parsed, responses)
+    written = accepted(parsed)
+    if not written.isEmpty():
+        append_rows(written, path)
+    return summary

@@ -345,7 +345,7 @@ def q_unscored(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def q_score_batches(spark: SparkSession, folder: str) -> DataFrame:
-    parsed, _ = scoring.score_freeform(
+    parsed, _, _ = scoring.score_freeform(
         b.intakes(spark, folder),
         b.already_scored(spark, folder),
         b.signal_scorer(),
