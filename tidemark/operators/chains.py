@@ -17,7 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.keys import latest_per_key
+from tidemark.operators.keys import latest_per_key, left_join
 from tidemark.session import cut_lineage
 
 ROUNDS = 5
@@ -250,7 +250,7 @@ def canonical_value_map(
     per_entity = df.groupBy(entity, group, value).agg(*[F.min(t).alias(t) for t in traits])
     listed = per_entity.select(group, value, *traits).distinct()
     chains = merged.select(group, *traits, F.explode("members").alias(value), "first_value")
-    return listed.join(chains, [group, *traits, value], "left").select(
+    return left_join(listed, chains, [group, *traits, value], [group, value]).select(
         group, value, *traits, F.coalesce("first_value", value).alias(name)
     )
 
@@ -261,7 +261,7 @@ def apply_canonical_value(
     """Overwrite ``value`` with its canonical name; null where the map has no row."""
     name = name or f"rpt_{value}"
     columns = [F.col(name).alias(value) if c == value else F.col(c) for c in df.columns]
-    return df.join(mapping, [group, value, *traits], "left").select(*columns)
+    return left_join(df, mapping, [group, value, *traits], df.columns).select(*columns)
 
 
 def canonicalise(

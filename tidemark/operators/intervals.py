@@ -63,6 +63,7 @@ def point_in_time_join(
     valid_from: str,
     valid_through: str,
     row_id: Sequence[str],
+    salt: str | None = None,
 ) -> DataFrame:
     """Left join to the row valid at an instant; both bounds belong to the interval.
 
@@ -70,7 +71,7 @@ def point_in_time_join(
     ``valid_from`` and ``valid_through`` must not exist on the left.
     """
     valid = at.between(F.col(valid_from), F.col(valid_through))
-    return left_join(left, right, on, row_id, valid)
+    return left_join(left, right, on, row_id, valid, salt=salt)
 
 
 def nearest_pauses(

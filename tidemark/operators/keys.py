@@ -27,13 +27,19 @@ def left_join(
     row_id: Sequence[str],
     condition: Column | None = None,
     spread: int | None = None,
+    salt: str | None = None,
 ) -> DataFrame:
     """Left equi-join that spreads rows without a key over many tasks.
 
     Rows whose key is null can match nothing, yet they would all hash to one
     task. They get a salt taken from ``row_id``, one of ``spread`` (by default four
-    per shuffle partition of the session); the right side's salt is always zero (written so that it is not folded away), so results are unchanged. Hot
-    non-null keys are left to AQE's skew-join split.
+    per shuffle partition of the session); the right side's salt is always zero
+    (written so that it is not folded away), so results are unchanged. Hot non-null
+    keys are left to AQE's skew-join split.
+
+    Joins in a row on one key can share a shuffle: give them one ``salt``, the name
+    of a column that is made by the first and stays. For a key that is never null
+    ``salt=""`` leaves the salt out altogether.
 
     ``on`` maps left names to right names; right key columns are dropped.
     ``condition`` may add predicates over both sides.
@@ -43,17 +49,20 @@ def left_join(
     missing = F.lit(False)
     for name in pairs:
         missing = missing | F.col(name).isNull()
-    salted = left.withColumn(
-        "_salt",
-        F.when(missing, F.pmod(F.xxhash64(*row_id), F.lit(spread))).otherwise(F.lit(0).cast("bigint")),
-    )
+    name_of_salt = "_salt" if salt is None else salt
+    salted = left
+    if name_of_salt and name_of_salt not in left.columns:
+        share = F.pmod(F.xxhash64(*row_id), F.lit(spread))
+        salted = left.withColumn(name_of_salt, F.when(missing, share).otherwise(F.lit(0).cast("bigint")))
     renamed = right
     for name in pairs.values():
         renamed = renamed.withColumnRenamed(name, f"_right_{name}")
-    renamed = renamed.withColumn(
-        "_right_salt", F.pmod(F.xxhash64(*[f"_right_{n}" for n in pairs.values()]), F.lit(1))
-    )
-    matches = F.col("_salt") == F.col("_right_salt")
+    matches = F.lit(True)
+    if name_of_salt:
+        renamed = renamed.withColumn(
+            "_right_salt", F.pmod(F.xxhash64(*[f"_right_{n}" for n in pairs.values()]), F.lit(1))
+        )
+        matches = F.col(name_of_salt) == F.col("_right_salt")
     for name, other in pairs.items():
         matches = matches & (F.col(name) == F.col(f"_right_{other}"))
     if condition is not None:

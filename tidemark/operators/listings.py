@@ -24,6 +24,8 @@ OFF_MARKET = ("Under Contract", "Closed")
 SOLD = "Under Contract"
 FOR_SALE = "Now Selling"
 FIRST_REPORT_DATE = dt.date(2024, 10, 14)
+# Fixed value: the fields read from a listing's document, as text.
+HOUSE = "bed string, bath string, garage string, story string, sqft string"
 
 
 def _by_day() -> Window:
@@ -94,11 +96,12 @@ def clean_listings(
     )
 
     def trait(name: str, parse) -> Column:
-        return F.last(parse(F.get_json_object("house_info", f"$.{name}"))).over(_whole())
+        return F.last(parse(F.col("_house")[name])).over(_whole())
 
     on_offer = F.when(~F.col("status").isin(*OFF_MARKET), F.col("report_date"))
     return (
         daily.withColumns(city_state_zip("city_address"))
+        .withColumn("_house", F.from_json("house_info", HOUSE))
         .withColumns(
             {
                 "bed": trait("bed", try_decimal),
@@ -113,7 +116,7 @@ def clean_listings(
         )
         .withColumn("daily_homesite_key", F.md5(F.concat(F.col("report_date").cast("string"), "homesite_id")))
         .withColumn("min_report_dt", first_report)
-        .drop("house_info")
+        .drop("house_info", "_house")
     )
 
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -37,7 +39,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Folder for reliable checkpoints: the session's, else a test-only one.
 
     A machine-local folder is lost together with the machine, so it is only
-    ever chosen in local mode.
+    ever chosen in local mode, and it is removed when the process ends.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
@@ -45,6 +47,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
         if not sc.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         current = tempfile.mkdtemp(prefix="tidemark-checkpoint-")
+        atexit.register(shutil.rmtree, current, ignore_errors=True)
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(current)
     return current
