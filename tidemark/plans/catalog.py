@@ -136,6 +136,19 @@ def q_listing_report(spark: SparkSession, folder: str) -> DataFrame:
     return plain(listings.days_on_market(_changes(spark, folder)).select(*listings.REPORT_COLUMNS))
 
 
+def q_listing_from_chains(spark: SparkSession, folder: str) -> DataFrame:
+    """Plan names by chaining the listings' own value lists, then the report under these names."""
+    raw, communities = b.listings(spark, folder), b.community_map(spark, folder)
+    seen = listings.clean_listings(raw, b.LISTING_FLOOR, _tie()).join(communities, "community_id")
+    named, _ = chains.canonicalise(
+        seen.filter(F.col("rpt_community_id").isNotNull()),
+        "homesite_id", "rpt_community_id", "floor_plan", "report_date", ["bed", "bath"],
+    )
+    plans = named.withColumnRenamed("rpt_community_id", "community_id")
+    report = listings.listing_report(raw, b.communities(spark, folder), communities, plans, b.LISTING_FLOOR, _tie())
+    return plain(report)
+
+
 # --- cancellations -------------------------------------------------------------
 
 
