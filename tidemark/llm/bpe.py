@@ -26,8 +26,8 @@ from pyspark.sql import DataFrame
 from tidemark.llm.common import id_and_text
 
 #: Entries of the two memos of a worker. They only save time: a full memo is emptied.
-PIECE_MEMO = 400_000
-PAIR_MEMO = 400_000
+PIECE_MEMO = 200_000
+PAIR_MEMO = 200_000
 #: Pieces of more characters than this are not memoised.
 LONG_PIECE = 64
 #: Pieces that are encoded at a time, which bounds memory on very long texts.
