@@ -140,15 +140,18 @@ def _scan(docs: DataFrame) -> DataFrame:
 
 def _ask_blocks(words: Words, name: str, buckets: int) -> list[tuple]:
     starts, hashes = words.probes()
-    asked = np.unique(hashes)
+    order = np.argsort(hashes, kind="stable")
+    first = np.flatnonzero(np.concatenate([[True], hashes[order[1:]] != hashes[order[:-1]]])) if len(order) else order
+    asked, owner = hashes[order[first]], words.owner[starts[order]]
+    # Does more than one document of the batch have it? Documents stand in order, so its places do.
+    several = owner[first] != owner[np.append(first[1:], len(order)) - 1] if len(order) else order
     aligned = words.place[starts] % words.block == 0
     offered, offering = least_by_key(hashes[aligned], words.doc[starts[aligned]])
     a, b = edges_by_range(asked, ANCHOR_BITS, buckets), edges_by_range(offered, ANCHOR_BITS, buckets)
-    latest = int(words.doc[starts].max()) if len(starts) else 0
     found = []
     for bucket in np.flatnonzero(np.diff(a) > 0).tolist():
         mine, theirs = slice(a[bucket], a[bucket + 1]), slice(b[bucket], b[bucket + 1])
-        parts = [pack_sorted(asked[mine]), pack_sorted(offered[theirs]), pack(offering[theirs]), pack(np.array([latest], np.uint64))]
+        parts = [pack_sorted(asked[mine]), pack_sorted(offered[theirs]), pack(offering[theirs]), pack(several[mine])]
         found.append((name, bucket, parts))
     return found
 
@@ -160,14 +163,14 @@ def _match_blocks(questions: DataFrame) -> DataFrame:
         asked, offered = ([unpack_sorted(p[i]) for p in parts] for i in range(2))
         offering = [unpack(p[2]) for p in parts]
         blocks, earliest = least_by_key(np.concatenate(offered), np.concatenate(offering))
-        # A block matters if a document after its earliest one may probe it: in another batch, or in the same one twice.
-        last = np.zeros(len(blocks), np.uint64)
+        # A block matters if another document probes it: one of another batch, or a second one of the same batch.
+        having = np.zeros(len(blocks), np.int64)
         for probes, part in zip(asked, parts):
             at = np.searchsorted(probes, blocks)
             hit = at < len(probes)
             hit[hit] = probes[at[hit]] == blocks[hit]
-            last[hit] = np.maximum(last[hit], unpack(part[3])[0])
-        matters = last > earliest
+            having[hit] += 1 + unpack(part[3]).astype(np.int64)[at[hit]]
+        matters = having > 1
         blocks, earliest = blocks[matters], earliest[matters]
         found = []
         for batch, probes in zip(batches, asked):
