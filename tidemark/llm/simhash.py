@@ -20,15 +20,15 @@ from tidemark.session import cut_lineage
 SHINGLES_AT_A_TIME = 1 << 14
 
 
-def fingerprint(text: bytes, width: int) -> int:
-    """64-bit SimHash of a text: a bit is set if it is set in over half the shingle hashes.
+def shingle_hashes(text: bytes, width: int) -> np.ndarray:
+    """Hashes of the shingles of a text in order, repeats included.
 
-    A-Z is lowered; shingles are ``width`` words joined by single blanks, repeats
-    included; a shorter text is one shingle, a text without words gives zero.
+    A-Z is lowered; shingles are ``width`` words joined by single blanks; a shorter
+    text is one shingle, a text without words has none.
     """
     words = text.lower().split()
     if not words:
-        return 0
+        return np.empty(0, "<u8")
     joined = b" ".join(words)
     ends, at = [], -1
     for word in words:
@@ -37,7 +37,11 @@ def fingerprint(text: bytes, width: int) -> int:
     starts = [0, *(end + 1 for end in ends[:-1])]
     ends = ends[width - 1 :] or ends[-1:]
     digest = xxhash.xxh64_intdigest
-    hashes = np.array([digest(joined[a:b], 42) for a, b in zip(starts, ends)], dtype="<u8")
+    return np.array([digest(joined[a:b], 42) for a, b in zip(starts, ends)], dtype="<u8")
+
+
+def fingerprint_of(hashes: np.ndarray) -> int:
+    """64-bit SimHash: a bit is set if it is set in over half the hashes; zero without any."""
     counts = np.zeros(64, np.int64)
     for start in range(0, len(hashes), SHINGLES_AT_A_TIME):
         block = hashes[start : start + SHINGLES_AT_A_TIME].view(np.uint8).reshape(-1, 8)
@@ -45,6 +49,11 @@ def fingerprint(text: bytes, width: int) -> int:
     return int(np.packbits(2 * counts > len(hashes), bitorder="little").view("<u8")[0])
 
 
+def fingerprint(text: bytes, width: int) -> int:
+    """64-bit SimHash of the shingles of a text; a text without words gives zero."""
+    return fingerprint_of(shingle_hashes(text, width))
+
+
 def _bodies(texts: pa.Array) -> pa.Array:
     """A 64-bit hash of each text; null is empty."""
     return pa.array(np.array([xxhash.xxh64_intdigest(t.as_py() or "") for t in texts], np.uint64).view(np.int64))
