@@ -15,7 +15,7 @@ RANK_FILE = "byte_bpe_multi_50k.tiktoken"
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = line_dedup.kept_lines(load(spark, sf_dir, "documents"), bits=4, least=0.8)
+    found = line_dedup.kept_lines(load(spark, sf_dir, "documents"), least=0.8, grams=True)
     n_removed = F.col("n_lines") - F.size("kept")
     return found.select("doc_id", "n_lines", n_removed.alias("n_removed"), F.col("kept").alias("kept_lines"))
 

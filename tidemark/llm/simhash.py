@@ -203,7 +203,12 @@ def linked_values(values: DataFrame, bits: int = 4, blocks: int = 7, chunk: int
     """
     masks = block_masks(blocks, bits)
     meets = F.array(*[F.xxhash64(F.lit(i), F.col("fp").bitwiseAND(F.lit(_signed(m)))) for i, m in enumerate(masks)])
-    first = cut_lineage(_meeting_edges(values.select(F.explode(meets).alias("meet"), "fp"), bits, chunk))
+    return linked_meetings(values.select(F.explode(meets).alias("meet"), "fp"), bits, chunk)
+
+
+def linked_meetings(meetings: DataFrame, bits: int, chunk: int = 1024) -> DataFrame:
+    """Links (a, b) that connect the ``fp`` values within ``bits`` bits of each ``meet``; large ones are dealt in chunks."""
+    first = cut_lineage(_meeting_edges(meetings, bits, chunk))
     hot = first.filter("hot").select(F.col("a").alias("key"), F.col("b").alias("fp"))
     second = _meeting_edges(dealt_in_chunks(hot, "key", "fp", chunk).select("meet", "fp"), bits, None)
     return first.filter("not hot").select("a", "b").unionByName(second.select("a", "b")).distinct()
