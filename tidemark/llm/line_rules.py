@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import WORD_GAP, with_let
+from tidemark.llm.common import WORD_GAP, fresh, with_let
 from tidemark.session import cut_lineage
 
 BLANKS = " \t\n\x0b\f\r"
@@ -57,12 +57,17 @@ def _repeat_words(words: Column) -> Column:
     )
 
 
+def _even(text: Column) -> Column:
+    even = F.translate(text, UPPER + "123456789", LOWER + "0" * 9)
+    return F.regexp_replace(even, r"[\x20\x09\x0B-\x0D]+", " ")
+
+
 def measures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source") -> DataFrame:
-    """(row, doc_id, host, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, lines) per input row.
+    """(row, doc_id, host, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, lines, body) per input row.
 
     ``lines`` has for every line with a word the hash of its normalised form (A-Z
-    lowered, digits to 0, blanks to one) and its number of words. ``row`` is only
-    unique within one run: write the frame before it is used twice.
+    lowered, digits to 0, blanks to one) and its number of words, ``body`` is a
+    hash of the text. ``row`` is only unique within one run: write the frame before it is used twice.
     """
     given = docs.select(
         F.col(id_col).cast("bigint").alias("doc_id"),
@@ -72,8 +77,7 @@ def measures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ho
     text = F.col("text")
     solid = F.length(F.translate(text, BLANKS, ""))
     raw_lines = F.filter(F.split(text, "\n"), lambda line: F.length(F.translate(line, BLANKS, "")) > 0)
-    even = F.regexp_replace(F.translate(text, UPPER + "123456789", LOWER + "0" * 9), r"[\x20\x09\x0B-\x0D]+", " ")
-    lines = F.filter(F.transform(F.split(even, "\n"), lambda line: F.trim(line)), lambda line: line != "")
+    lines = F.filter(F.transform(F.split(_even(text), "\n"), lambda line: F.trim(line)), lambda line: line != "")
     in_words = with_let(
         _words(text),
         lambda w: F.struct(F.size(w).cast("bigint").alias("n_words"), _repeat_words(w).alias("n_repeat_words")),
@@ -93,9 +97,10 @@ def measures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ho
                 (F.length(line) - F.length(F.translate(line, " ", "")) + 1).alias("n"),
             ),
         ).alias("lines"),
+        F.xxhash64(text).alias("body"),
     )
     return made.select(
-        "row", "doc_id", "host", "w.n_words", "word_chars", "n_symbols", "n_dup_lines", "w.n_repeat_words", "lines"
+        "row", "doc_id", "host", "w.n_words", "word_chars", "n_symbols", "n_dup_lines", "w.n_repeat_words", "lines", "body"
     )
 
 
@@ -117,6 +122,55 @@ def frequent_lines(measured: DataFrame, most_docs: int, most_share: float) -> Da
     return n_docs.join(sizes, same).filter(F.col("n_docs") > most_share * F.col("host_docs")).select(n_docs["host"], "h")
 
 
+def _lines_out(measured: DataFrame, frequent: DataFrame) -> DataFrame:
+    """(row, n_boilerplate, gone): words in frequent lines and the hashes of those lines, for rows that have any."""
+    lines = measured.select("row", "host", F.explode("lines").alias("line")).select("row", "host", "line.h", "line.n")
+    return (
+        lines.join(frequent, lines["host"].eqNullSafe(frequent["host"]) & (lines["h"] == frequent["h"]))
+        .groupBy("row")
+        .agg(F.sum("n").alias("n_boilerplate"), F.collect_set(lines["h"]).alias("gone"))
+    )
+
+
+def drop_frequent_lines(
+    docs: DataFrame,
+    most_docs: int = 50,
+    most_share: float = 0.02,
+    least_left: float = 0.5,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    host_col: str = "source",
+) -> DataFrame:
+    """``docs``, all columns, without the frequent lines of their host and without depleted rows.
+
+    A row is depleted if less than ``least_left`` of its words are left. The base
+    rules of ``line_quality`` are not applied. Rows join the hashes of their own
+    frequent lines by id, host and a hash of the text.
+    """
+    measured = cut_lineage(measures(docs, id_col, text_col, host_col))
+    out = _lines_out(measured, frequent_lines(measured, most_docs, most_share))
+    number, host, body, gone, enough = fresh(docs, "gone_id", "gone_host", "gone_body", "gone_lines", "enough_left")
+    left = F.col("n_words") - F.col("n_boilerplate")
+    marks = (
+        measured.join(out, "row")
+        .groupBy(F.col("doc_id").alias(number), F.col("host").alias(host), F.col("body").alias(body))
+        .agg(F.first("gone").alias(gone), F.first(left >= least_left * F.col("n_words")).alias(enough))
+    )
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    joined = docs.join(
+        marks,
+        F.col(id_col).cast("bigint").eqNullSafe(F.col(number))
+        & F.col(host_col).cast("string").eqNullSafe(F.col(host))
+        & (F.xxhash64(text) == F.col(body)),
+        "left",
+    )
+    kept = F.filter(F.split(text, "\n"), lambda line: ~F.array_contains(F.col(gone), F.xxhash64(F.trim(_even(line)))))
+    shown = F.when(F.col(gone).isNull(), F.col(text_col)).otherwise(F.concat_ws("\n", kept))
+    return joined.filter(F.coalesce(F.col(enough), F.lit(True))).select(
+        *[shown.alias(c) if c == text_col else F.col(c) for c in docs.columns]
+    )
+
+
 def line_quality(
     docs: DataFrame,
     most_docs: int = 50,
@@ -136,16 +190,11 @@ def line_quality(
     """
     measured = cut_lineage(measures(docs, id_col, text_col, host_col))
     frequent = frequent_lines(measured, most_docs, most_share)
-    lines = measured.select("row", "host", F.explode("lines").alias("line")).select("row", "host", "line.h", "line.n")
-    out = (
-        lines.join(frequent, lines["host"].eqNullSafe(frequent["host"]) & (lines["h"] == frequent["h"]))
-        .groupBy("row")
-        .agg(F.sum("n").alias("n_boilerplate"))
-    )
+    out = _lines_out(measured, frequent).select("row", "n_boilerplate")
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     left = F.col("n_words") - F.col("n_boilerplate")
     return (
-        measured.drop("lines")
+        measured.drop("lines", "body")
         .join(out, "row", "left")
         .fillna(0, ["n_boilerplate"])
         .select(
