@@ -8,10 +8,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import anchors, bpe, byte_dedup, fm_index, katz, licenses, line_dedup, line_rules, quality_model, simhash
+from tidemark.llm import anchors, bpe, bpe_stream, byte_dedup, fm_index, katz, licenses, line_dedup, line_rules, quality_model, simhash
 from tidemark.llm.common import fold, load
 
 RANK_FILE = "byte_bpe_multi_50k.tiktoken"
+TOKENIZER_FILE = "byte_bpe_50k.json"
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -78,6 +79,11 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_bpe_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = bpe_stream.round_trip(load(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER_FILE))
+    return found.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -89,6 +95,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_classifier": op8_quality_classifier,
     "op9_license_scan": op9_license_scan,
     "op10_byte_bpe": op10_byte_bpe,
+    "op13_bpe_stream": op13_bpe_stream,
 }
 
 ORACLE_SQL: dict[str, str] = {
