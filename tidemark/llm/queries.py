@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import anchors, bpe, bpe_stream, byte_dedup, fm_index, katz, licenses, line_dedup, line_rules, quality_model, simhash
+from tidemark.llm import anchors, bpe, bpe_stream, byte_dedup, fm_index, katz, licenses, line_dedup, line_rules, quality_model, simhash, vector_codes
 from tidemark.llm.common import fold, load
 
 RANK_FILE = "byte_bpe_multi_50k.tiktoken"
@@ -79,6 +79,12 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, books = vector_codes.compress(load(spark, sf_dir, "embeddings"), parts=16, entries=64, rounds=2)
+    found = vector_codes.with_label_error(coded)
+    return found.select("vec_id", "code", "error", "label_error", F.lit(books.sha256).alias("codebooks_sha256"))
+
+
 def op13_bpe_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = bpe_stream.round_trip(load(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER_FILE))
     return found.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
@@ -95,6 +101,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_classifier": op8_quality_classifier,
     "op9_license_scan": op9_license_scan,
     "op10_byte_bpe": op10_byte_bpe,
+    "op12_vector_codes": op12_vector_codes,
     "op13_bpe_stream": op13_bpe_stream,
 }
 
