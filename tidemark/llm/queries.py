@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import anchors, bpe, bpe_stream, byte_dedup, fm_index, katz, licenses, line_dedup, line_rules, quality_model, simhash, vector_codes
+from tidemark.llm import anchors, bpe, bpe_stream, byte_dedup, fm_index, katz, licenses, line_dedup, line_rules, phrases, quality_model, simhash, vector_codes
 from tidemark.llm.common import fold, load
 
 RANK_FILE = "byte_bpe_multi_50k.tiktoken"
@@ -79,6 +79,10 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(load(spark, sf_dir, "documents"), least=10, longest=3, top=2000, cover=50)
+
+
 def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded, books = vector_codes.compress(load(spark, sf_dir, "embeddings"), parts=16, entries=64, rounds=2)
     found = vector_codes.with_label_error(coded)
@@ -101,6 +105,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_classifier": op8_quality_classifier,
     "op9_license_scan": op9_license_scan,
     "op10_byte_bpe": op10_byte_bpe,
+    "op11_phrase_mining": op11_phrase_mining,
     "op12_vector_codes": op12_vector_codes,
     "op13_bpe_stream": op13_bpe_stream,
 }
