@@ -68,6 +68,8 @@ def test_collocations(spark, case, small, monkeypatch, tmp_path):
         monkeypatch.setattr(phrases, "SHARD", 40)
         monkeypatch.setattr(phrases, "WINDOWS", 500)
         monkeypatch.setattr(phrases, "ROWS", 7)
+        monkeypatch.setattr(phrases, "SLICE", 16)
+        monkeypatch.setattr(phrases, "HALF", 2)
     rows = CASES[case]()
     df = spark.createDataFrame(rows, "text string, lang string")
     for name in ("doc_id", "block", "words", "n", "w0", "rank", "id", "phrase"):

@@ -40,6 +40,8 @@ BLOCK_WORDS = 1 << 20
 WINDOWS = 1 << 22
 #: Nominated phrases of a trie, on average; dealt by hash, a shard differs from that by a few thousand.
 SHARD = 1 << 19
+#: Phrases whose sums travel together, and tasks whose slices are added up first.
+SLICE, HALF = 1 << 13, 1 << 10
 #: Rows handed to Spark at a time.
 ROWS = 1 << 17
 
@@ -194,15 +196,20 @@ def tries(nominated: DataFrame, k: int, highest: int) -> tuple[DataFrame, int]:
     return cut_lineage(dealt.groupBy("shard").applyInArrow(make, "shard int, base binary, check binary, states binary, phrases binary")), shards
 
 
-def count_through(encoded: DataFrame, row, k: int, highest: int, mark: bool) -> DataFrame:
-    """Counts of a shard's phrases, as (w0, ..., n) per task, and where they begin, as (block, hits); written once."""
+def count_through(encoded: DataFrame, row, k: int, highest: int, mark: bool) -> tuple[DataFrame, DataFrame | None]:
+    """(w0, ..., n) of a shard's phrases that occur, and (block, hits) of where they begin.
+
+    A task's sums leave it as packed slices of one array, which are added up in two steps, so
+    that neither the rows nor a group's size follow the number of tasks times that of phrases.
+    """
     base, check, states, phrases = (np.frombuffer(row[c], np.int32) for c in ("base", "check", "states", "phrases"))
+    phrases = phrases.reshape(-1, k)
     digits, bits = digits_of(highest)
+    names = ["block", "hits", "slice", "half", "sums"]
 
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trie = DoubleArray(base, check, states, k, digits, bits)
         total = np.zeros(len(check), np.int64)
-        empty = [None]
         for batch in batches:
             for number in range(batch.num_rows):
                 ids = unpack(batch.column(1)[number].as_py()).astype(np.int32)
@@ -211,16 +218,34 @@ def count_through(encoded: DataFrame, row, k: int, highest: int, mark: bool) ->
                 if mark:
                     begins = np.zeros(len(ids), bool)
                     begins[at] = True
-                    columns = [batch.column(0).slice(number, 1), pa.array([np.packbits(begins).tobytes()], pa.binary())]
-                    columns += [pa.array(empty, pa.int32())] * k + [pa.array(empty, pa.int64())]
-                    yield pa.record_batch(columns, ["block", "hits", *_columns(k), "n"])
-        own = np.flatnonzero(total[states])
-        for part in _counted(phrases.reshape(-1, k)[own], total[states[own]]):
-            nulls = [pa.nulls(part.num_rows, pa.int64()), pa.nulls(part.num_rows, pa.binary())]
-            yield pa.record_batch([*nulls, *part.columns], ["block", "hits", *_columns(k), "n"])
-
-    schema = "block bigint, hits binary, " + ", ".join(f"{c} int" for c in _columns(k)) + ", n bigint"
-    return cut_lineage(encoded.select("block", "ids").mapInArrow(over, schema))
+                    hits = pa.array([np.packbits(begins).tobytes()], pa.binary())
+                    rest = [pa.nulls(1, t) for t in (pa.int32(), pa.int32(), pa.binary())]
+                    yield pa.record_batch([batch.column(0).slice(number, 1), hits, *rest], names)
+        own = total[states]
+        if own.any():
+            starts = range(0, len(own), SLICE)
+            half = TaskContext.get().partitionId() // HALF
+            columns = [pa.array(range(len(starts)), pa.int32()), pa.array([half] * len(starts), pa.int32())]
+            columns.append(pa.array([pack(own[i : i + SLICE]) for i in starts], pa.binary()))
+            yield pa.record_batch([pa.nulls(len(starts), pa.int64()), pa.nulls(len(starts), pa.binary()), *columns], names)
+
+    def added(table: pa.Table) -> np.ndarray:
+        return reduce(np.add, (unpack(x.as_py()) for x in table.column("sums")))
+
+    def some(table: pa.Table) -> pa.Table:
+        return pa.table([table.column("slice").slice(0, 1), pa.array([pack(added(table))], pa.binary())], ["slice", "sums"])
+
+    def all_(table: pa.Table) -> pa.Table:
+        start, sums = table.column("slice")[0].as_py() * SLICE, added(table).astype(np.int64)
+        found = np.flatnonzero(sums)
+        return pa.Table.from_batches(_counted(phrases[start + found], sums[found]))
+
+    schema = "block bigint, hits binary, slice int, half int, sums binary"
+    written = cut_lineage(encoded.select("block", "ids").mapInArrow(over, schema))
+    slices = written.filter(F.col("slice").isNotNull()).select("slice", "half", "sums")
+    halves = slices.groupBy("slice", "half").applyInArrow(some, "slice int, sums binary")
+    counts = halves.groupBy("slice").applyInArrow(all_, ", ".join(f"{c} int" for c in _columns(k)) + ", n bigint")
+    return counts, written.filter(F.col("block").isNotNull()).select("block", "hits") if mark else None
 
 
 def phrase_counts(encoded: DataFrame, highest: int, least: int, longest: int) -> dict[int, DataFrame]:
@@ -235,10 +260,11 @@ def phrase_counts(encoded: DataFrame, highest: int, least: int, longest: int) ->
         ]
         if not passes:
             break
-        together = reduce(DataFrame.unionByName, passes)
-        sums = together.filter(F.col("n").isNotNull()).groupBy(*_columns(k)).agg(F.sum("n").alias("n"))
-        found[k] = cut_lineage(sums.filter(F.col("n") >= least))
-        hits = together.filter(F.col("hits").isNotNull()).select("block", "hits")
+        # A phrase is in one shard, so the shards' counts stand side by side.
+        counts = reduce(DataFrame.unionByName, [c for c, _ in passes])
+        found[k] = cut_lineage(counts.filter(F.col("n") >= least))
+        if k < longest:
+            hits = reduce(DataFrame.unionByName, [h for _, h in passes])
     return found
 
 
