@@ -118,6 +118,89 @@ def test_no_job_runs_before_the_timeline_is_asked_for(spark, products):
     assert not tracker.getJobIdsForGroup("timeline")
 
 
+def plain_timeline(data):
+    """{user: [(created, cancelled_at, uncancelled_at, valid_from, next created)]} by reading one event after the other."""
+    found = {}
+    for user in {d[0] for d in data}:
+        log = sorted((ts(at), v, t, ts(c)) for u, t, at, v, c, *_ in data if u == user)
+        runs = []
+        for at, v, t, c in log:
+            if not runs or runs[-1][0] != t:
+                runs.append((t, []))
+            runs[-1][1].append((at, v, c))
+        ends = []
+        for t, run in runs:
+            newest = max(at for at, _, _ in run)
+            ends.append((t, *min((v, c) for at, v, c in run if at == newest)[1:], newest))
+        pairs = []
+        for k, (t, c, at) in enumerate(ends):
+            end = ends[k + 1][2] if k + 1 < len(ends) else None
+            if t == "c" and (c is None or end is None or c < end):
+                pairs.append((at, c, end))
+        made = []
+        for k, (at, c, end) in enumerate(pairs):
+            before = pairs[k - 1][2] if k else None
+            holds = c is not None and (k == 0 or (before is not None and c > before))
+            valid = before if k else ts("1900-01-01 00:00")
+            made.append((at, c if holds else at, end, valid, pairs[k + 1][0] if k + 1 < len(pairs) else None))
+        found[user] = made
+    return found
+
+
+def timed_events(seed, n, days, types):
+    """Long runs of one type, ties in time and dates before and after the events."""
+    draw = random.Random(seed)
+    data, at = [], 0
+    for i in range(n):
+        at += draw.choice([0, 0, 1, 7, 30])
+        kind = draw.choice(types) if draw.random() < 0.3 or not data else data[-1][1]
+        until = at + draw.randrange(-60, 90)
+        until = f"2024-{1 + until // 24 // 28 % 12:02d}-{1 + until // 24 % 28:02d} {until % 24:02d}:00" if draw.random() < 0.8 and until >= 0 else None
+        hour = at % (24 * days)
+        data.append((f"u{i * 3 // n}", kind, f"2024-{1 + hour // 24 // 28:02d}-{1 + hour // 24 % 28:02d} {hour % 24:02d}:00", draw.randrange(1000) * n + i, until))
+    return data
+
+
+@pytest.mark.parametrize("days", [1, 40, 300])
+@pytest.mark.parametrize("types", ["cu", "cccu", "cuuu", "c", "u"])
+def test_segments_carry_open_runs(spark, products, days, types):
+    """Against a reading of the log one event after the other, for segments shorter and longer than runs."""
+    data = timed_events(days, 180, days, types)
+    log, expected = events(spark, data), plain_timeline(data)
+    for segment in (None, F.date_trunc("hour", "created_at"), F.month("created_at"), F.lit(0)):
+        found = {u: [] for u in expected}
+        for r in rows(cancellation_timeline(log, products, segment), "admin_user_id", "cancellation_created_at"):
+            found[r["admin_user_id"]].append((
+                r["cancellation_created_at"], r["cancelled_at"], r["uncancelled_at"], r["valid_from"], r["next_cancellation_created_at"],
+            ))
+        assert found == expected
+
+
+def test_null_users_and_times(spark, products):
+    data = [(None, "c", "2024-01-01 10:00", 1, None), (None, "u", "2024-01-03 10:00", 2, None), ("a", "c", None, 1, None), ("a", "u", "2024-01-04 00:00", 2, None)]
+    found = timeline(spark, products, data)
+    assert [(r["admin_user_id"], r["uncancelled_at"]) for r in found] == [(None, ts("2024-01-03 10:00")), ("a", ts("2024-01-04 00:00"))]
+    assert cancellation_timeline(events(spark, data).limit(0), products).count() == 0
+
+
+def exchanges(df):
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    final = plan.split("== Initial Plan ==")[0]
+    return final.count("Exchange hashpartitioning"), final.count("SortMergeJoin")
+
+
+def test_events_are_shuffled_once(spark, products):
+    """One shuffle of the events, one of the summaries by key, one back to the segments, and the product join."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        shuffles, joins = exchanges(cancellation_timeline(events(spark, random_events(6)), products))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert shuffles <= 6 and joins <= 2
+
+
 def test_intervals_of_one_key_do_not_overlap(spark, products):
     found = timeline(spark, products, random_events(3))
     assert len(found) > 10

@@ -162,14 +162,15 @@ def q_cancel_timeline(spark: SparkSession, folder: str) -> DataFrame:
 
 def q_interval_days(spark: SparkSession, folder: str) -> DataFrame:
     days = expand_days(
-        _timeline(spark, folder), "cancelled_at_dt_pst", ["uncancelled_at_dt_pst"], b.event_calendar(spark, folder)
+        _timeline(spark, folder), "cancelled_at_dt_pst", ["uncancelled_at_dt_pst"], b.event_calendar(spark, folder),
+        contiguous=True,
     )
     return plain(days.select("admin_user_id", "product_name", "day_date", "cancelled_at", "uncancelled_at"))
 
 
 def _cancel_days(spark: SparkSession, folder: str, calendar: DataFrame) -> DataFrame:
     products = b.products(spark, folder)
-    return cancel_daily(_timeline(spark, folder, products), calendar, products)
+    return cancel_daily(cut_lineage(_timeline(spark, folder, products)), calendar, products, contiguous=True)
 
 
 def q_cancel_daily(spark: SparkSession, folder: str) -> DataFrame:
