@@ -119,8 +119,12 @@ def distance(a, b):
     return row[-1]
 
 
-def kept_lines(docs, bits=4, least=0.8):
-    """[(id, kept line numbers)] of [(id, text)] without null or repeated ids."""
+def kept_lines(docs, bits=4, least=0.8, alike=None):
+    """[(id, kept line numbers)] of [(id, text)] without null or repeated ids.
+
+    ``alike(a, b)`` is a quicker test of the same similarity; it takes the place of the distance.
+    """
+    alike = alike or (lambda a, b: 1 - distance(a, b) / max(len(a), len(b)) >= least - 1e-12)
     docs = sorted(docs)
     found, first = [], {}
     for i, t in docs:
@@ -135,8 +139,7 @@ def kept_lines(docs, bits=4, least=0.8):
         (a, b)
         for a in range(len(lines))
         for b in range(a)
-        if (prints[a] ^ prints[b]).bit_count() <= bits
-        and 1 - distance(lines[a], lines[b]) / max(len(lines[a]), len(lines[b])) >= least - 1e-12
+        if (prints[a] ^ prints[b]).bit_count() <= bits and alike(lines[a], lines[b])
     ]
     of, seen, kept = groups(len(lines), links), set(), collections.defaultdict(list)
     for i, k, own in found:
