@@ -3,6 +3,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from tests.helpers import bag, day
 from tidemark.operators import chains
@@ -158,3 +159,41 @@ def test_unmapped_rows_become_null(spark):
     assert bag(named, "homesite_id", "floor_plan") == [("a", "1"), ("b", None)]
 
 
+LISTS = "community_id string, bed int, bath int, value_list array<string>, first_seen_date date, last_seen_date date"
+
+
+def test_two_thousand_lists_in_a_group(spark):
+    """One list that 2,000 others go on from, on two days; what they add is told apart, not who adds it."""
+    first, days = day("2024-01-01"), (day("2024-01-02"), day("2024-01-03"))
+    data = [("c", 3, 2, [f"v{i:02d}" for i in range(40)], first, first)]
+    data += [("c", 3, 2, [f"v{i:02d}", f"n{k:02d}"], first, days[k >= 25]) for i in range(40) for k in range(50)]
+    df = spark.createDataFrame(data, LISTS)
+    base = df.withColumn("_base", F.to_json("value_list"))
+    steps = chains._steps(base, ["community_id", *TRAITS]).groupBy("_base").count()
+    assert steps.agg(F.max("count")).first()[0] == 50
+    found = chains.cut_lineage(chains.chain_lists_sequential(df, **SITE))
+    by_count = {r.match_cnt: r["count"] for r in found.groupBy("match_cnt").count().collect()}
+    # From the long list one of each day, or one of the second; from those of the first day one of the second.
+    assert by_count == {0: 40 * 25, 1: 25 + 40 * 25 * 25, 2: 25 * 25}
+    assert found.select("chained_list").distinct().count() == sum(by_count.values())
+
+
+def test_repeated_lists_with_other_dates(spark):
+    data = [("c", 3, 2, ["1", "2"], day("2024-01-01"), day(d)) for d in ("2024-01-02", "2024-01-09")]
+    data += [("c", None, 2, ["1", "2"], day("2024-01-01"), day("2024-01-02")), ("c", 2, None, ["1", "2"], day("2024-01-01"), day("2024-01-02"))]
+    data += [("c", 3, 2, ["2", "3"], day("2024-01-01"), day("2024-01-05"))]
+    found = chains.chain_lists_sequential(spark.createDataFrame(data, LISTS), **SITE)
+    assert bag(found, "bed", "bath", "chained_list", "match_cnt") == bag(
+        spark.createDataFrame(
+            [(None, 2, ["1", "2"], 0), (2, None, ["1", "2"], 0), (3, 2, ["1", "2"], 0), (3, 2, ["1", "2", "3"], 1), (3, 2, ["2", "3"], 0)],
+            "bed int, bath int, chained_list array<string>, match_cnt int",
+        )
+    )
+    assert chains.chain_lists_sequential(spark.createDataFrame([], LISTS), **SITE).count() == 0
+
+
+def test_no_rounds_or_one(spark):
+    data = [("c", 3, 2, [str(k), str(k + 1)], day("2024-01-01"), day(f"2024-01-{k + 1:02d}")) for k in range(1, 6)]
+    df = spark.createDataFrame(data, LISTS)
+    longest = lambda n: chains.chain_lists_sequential(df, **SITE, rounds=n).agg(F.max("match_cnt")).first()[0]
+    assert [longest(0), longest(1), longest(2)] == [0, 1, 1]  # lists go on from the base, not from what was added

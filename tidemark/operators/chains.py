@@ -13,6 +13,7 @@ round is reduced to distinct states before the next.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -69,59 +70,29 @@ def chain_lists_sequential(
     last seen later than what has been appended so far. Up to ``rounds`` lists are
     appended, along every possible order; a state with no follower stays as is.
 
-    What may follow depends on the base list alone (only the date moves on), so
-    followers are found once. Since the shared part starts with the other list's
-    first value, that value is the join key and a pair meets exactly once.
+    What may follow depends on the base list alone (only the date moves on), and a follower
+    adds just what the base does not have. So followers are found once, by an equi-join on
+    the first value of the other list, and those of one base that add the same on the same
+    day are one step. A walk is a digest of its base, the values added so far, a count and a
+    date; lists are put together only for the walks that are left at the end.
     """
     keys = [group, *traits]
-    base = lists.select(
-        *keys, "value_list", "first_seen_date", "last_seen_date", _text(F.col("value_list")).alias("_base")
-    )
-    others = base.filter(F.size("value_list") > 1).select(
-        *keys,
-        F.get("value_list", F.lit(0)).alias("_meets"),
-        F.col("value_list").alias("_other"),
-        F.col("last_seen_date").alias("_other_seen"),
-    )
-    shared = F.array_intersect("value_list", "_other")
-    followers = (
-        base.withColumn("_meets", F.explode("value_list"))
-        .join(others, [*keys, "_meets"])
-        .filter(
-            (F.col("_other_seen") > F.col("last_seen_date"))
-            & (F.col("value_list") != F.col("_other"))
-            & (shared == F.slice("_other", F.lit(1), F.size(shared)))
+    base = lists.select(*keys, "value_list", "first_seen_date", "last_seen_date")
+    # JSON names its fields, so that a null key is not mistaken for the next one.
+    base = cut_lineage(base.withColumn("_base", F.md5(F.to_json(F.struct(*base.columns)))))
+    steps = cut_lineage(_steps(base, keys))
+    walks = _walks(base, steps, rounds)
+
+    # Lists are built once; both the longest of a group and the rest read them.
+    built = walks.join(base, "_base").withColumn("chained_list", F.array_distinct(F.concat("value_list", "_added")))
+    state = cut_lineage(
+        built.select(
+            *keys, "value_list", "chained_list", "match_cnt", "first_seen_date",
+            F.col("_seen").alias("last_seen_date"),
+            F.try_element_at("chained_list", F.lit(-1)).alias("_tail"),
+            F.size("chained_list").alias("_size"),
         )
-        .select(*keys, "_base", "_other", "_other_seen")
     )
-    followers = cut_lineage(followers)
-
-    state = base.withColumn("chained_list", F.col("value_list")).withColumn("match_cnt", F.lit(0))
-    for _ in range(rounds):
-        state = (
-            state.alias("s")
-            .join(
-                followers.alias("f"),
-                [F.col(f"s.{k}") == F.col(f"f.{k}") for k in keys]
-                + [F.col("s._base") == F.col("f._base"), F.col("f._other_seen") > F.col("s.last_seen_date")],
-                "left",
-            )
-            .select(
-                *[f"s.{k}" for k in keys],
-                "s.value_list",
-                "s._base",
-                F.array_distinct(
-                    F.concat("s.chained_list", F.coalesce("f._other", F.slice("s.chained_list", 1, 0)))
-                ).alias("chained_list"),
-                (F.col("s.match_cnt") + F.col("f._other").isNotNull().cast("int")).alias("match_cnt"),
-                "s.first_seen_date",
-                F.coalesce("f._other_seen", "s.last_seen_date").alias("last_seen_date"),
-            )
-            .distinct()
-        )
-
-    size = F.size("chained_list")
-    state = state.withColumn("_tail", F.try_element_at("chained_list", F.lit(-1))).withColumn("_size", size)
     longest = state.groupBy(*keys, "_tail").agg(F.max("_size").alias("max_list_size"))
     scored = (
         state.alias("s")
@@ -150,7 +121,58 @@ def chain_lists_sequential(
     # A digest of group and list is unique after the reduction above, and needs no numbering of
     # a whole group.
     list_id = F.md5(F.concat_ws("\u0001", *[F.col(k).cast("string") for k in keys], _text(F.col("chained_list"))))
-    return kept.withColumn("list_id", list_id).drop("_base", "_tail", "_size")
+    return kept.withColumn("list_id", list_id).drop("_tail", "_size")
+
+
+def _steps(base: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """(_base, _day, _adds) of what may be appended to each base list, and ``_last``, the latest such day.
+
+    A pair of lists meets once: what they share begins with the other list's first value.
+    """
+    others = base.filter(F.size("value_list") > 1).select(
+        *keys,
+        F.get("value_list", F.lit(0)).alias("_meets"),
+        F.col("value_list").alias("_other"),
+        F.col("last_seen_date").alias("_day"),
+    )
+    shared = F.array_intersect("value_list", "_other")
+    met = (
+        base.withColumn("_meets", F.explode(F.array_distinct("value_list")))
+        .join(others, [*keys, "_meets"])
+        .filter(
+            (F.col("_day") > F.col("last_seen_date"))
+            & (F.col("value_list") != F.col("_other"))
+            & (shared == F.slice("_other", F.lit(1), F.size(shared)))
+        )
+    )
+    found = cut_lineage(met.select("_base", "_day", F.array_except("_other", "value_list").alias("_adds")).distinct())
+    last = found.groupBy("_base").agg(F.max("_day").alias("_last"))
+    return found.join(last, "_base")
+
+
+def _walks(base: DataFrame, steps: DataFrame, rounds: int) -> DataFrame:
+    """(_base, _added, match_cnt, _seen): every walk over later and later steps that ends or has used up its rounds."""
+    nothing = F.array().cast(base.schema["value_list"].dataType)
+    still = base.join(steps.select("_base").distinct(), "_base", "left_anti") if rounds else base
+    done = [still.select("_base", nothing.alias("_added"), F.lit(0).alias("match_cnt"), F.col("last_seen_date").alias("_seen"))]
+    if not rounds:
+        return done[0].distinct()
+    moving = steps.select("_base", F.col("_adds").alias("_added"), F.lit(1).alias("match_cnt"), F.col("_day").alias("_seen"), "_last")
+    for count in range(2, rounds + 1):
+        moving = cut_lineage(moving)
+        done.append(moving.filter(F.col("_seen") >= F.col("_last")).drop("_last"))
+        onward = moving.filter(F.col("_seen") < F.col("_last"))
+        if onward.isEmpty():
+            moving = onward
+            break
+        added = F.array_distinct(F.concat("_added", "_adds"))
+        moving = (
+            onward.join(steps.drop("_last"), "_base")
+            .filter(F.col("_day") > F.col("_seen"))
+            .select("_base", added.alias("_added"), F.lit(count).alias("match_cnt"), F.col("_day").alias("_seen"), "_last")
+            .distinct()
+        )
+    return reduce(DataFrame.unionByName, [*done, moving.drop("_last")]).distinct()
 
 
 def merge_lists_transitive(
