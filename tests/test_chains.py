@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tests.helpers import bag, day
 from tidemark.operators import chains
+from tidemark.operators.components import small_components
 
 TRAITS = ["bed", "bath"]
 SITE = {"group": "community_id", "traits": TRAITS}
@@ -197,3 +198,64 @@ def test_no_rounds_or_one(spark):
     df = spark.createDataFrame(data, LISTS)
     longest = lambda n: chains.chain_lists_sequential(df, **SITE, rounds=n).agg(F.max("match_cnt")).first()[0]
     assert [longest(0), longest(1), longest(2)] == [0, 1, 1]  # lists go on from the base, not from what was added
+
+
+def plain_sets(lists, rounds=5):
+    """{set: earliest list} by walks over sets: a walk may step onto an unvisited list inside its set, or add one outside."""
+    states = {}
+    for r in lists:
+        states[frozenset(r)] = min(states.get(frozenset(r), r), r)
+    weights = {s: sum(frozenset(r) == s for r in lists) for s in states}
+    for step in range(rounds):
+        following = {}
+        for s, first in states.items():
+            met = [o for o in weights if o & s]
+            inside = sum(weights[o] for o in met if o <= s)
+            targets = {s | o for o in met if not o <= s} | ({s} if inside > step + 1 or all(o <= s for o in met) else set())
+            for t in targets:
+                following[t] = min(following.get(t, first), first)
+        states = following
+    return states
+
+
+def chained(spark, groups):
+    rows = [(g, 3, 2, list(r), day("2024-01-01")) for g, lists in groups.items() for r in lists]
+    return spark.createDataFrame(rows, "community_id string, bed int, bath int, chained_list array<string>, first_seen_date date")
+
+
+def test_two_thousand_lists_on_one_value(spark):
+    draw = random.Random(8)
+    hot = set()
+    while len(hot) < 2000:
+        hot.add(tuple(draw.sample(["x", *draw.sample("abcdefg", 4)], 5)))
+    groups = {"hot": sorted(hot), "six": [(f"{k}", f"{k + 1}") for k in range(6)], "seven": [(f"{k}", f"{k + 1}") for k in range(7)]}
+    df = chains.cut_lineage(chained(spark, groups))
+    found = {}
+    for r in chains.merge_lists_transitive(df, **SITE).collect():
+        found.setdefault(r.community_id, {})[frozenset(r.members)] = r.first_value
+    assert found == {g: {s: first[0] for s, first in plain_sets(lists).items()} for g, lists in groups.items()}
+    assert len(found["six"]) == 1 and len(found["seven"]) > 1
+
+
+@pytest.mark.parametrize("most", [1, 2, 4, 6])
+def test_small_components(spark, most):
+    draw = random.Random(most)
+    sets = {}
+    for k in range(120):
+        begin = draw.randrange(260)
+        sets[f"n{k:03d}"] = [f"v{begin + j}" for j in range(draw.choice([1, 1, 2, 3]))]
+    sets |= {f"p{k:02d}": [f"w{k}", f"w{k + 1}"] for k in range(40)}  # a path
+    sets |= {f"q{k:02d}": [f"hub{k // 7}", f"own{k}"] for k in range(21)}  # stars of seven
+    names = sorted(sets)
+    of = {n: n for n in names}
+    changed = True
+    while changed:
+        changed = False
+        for a in names:
+            least = min(of[b] for b in names if set(sets[a]) & set(sets[b]))
+            if least < of[a]:
+                of[a], changed = least, True
+    size = {c: sum(of[n] == c for n in names) for c in set(of.values())}
+    df = spark.createDataFrame(list(sets.items()), "node string, found array<string>")
+    rows_ = {(r.node, r.component, r["size"]) for r in small_components(df, "node", "found", most).collect()}
+    assert rows_ == {(n, of[n], size[of[n]]) for n in names if size[of[n]] <= most}

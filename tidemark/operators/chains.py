@@ -18,6 +18,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.operators.components import small_components
 from tidemark.operators.keys import latest_per_key, left_join
 from tidemark.session import cut_lineage
 
@@ -189,6 +190,10 @@ def merge_lists_transitive(
     of which only the earliest starting list is remembered, and no visited list
     is carried along.
 
+    In a connected component of at most ``rounds + 1`` lists every walk ends with all
+    of them, so such components (most, as a rule) are merged at once; only lists of
+    larger ones walk.
+
     Result: one row per gathered set with the first value of the earliest
     starting list (``first_value``).
     """
@@ -205,7 +210,31 @@ def merge_lists_transitive(
     for key in keys:
         complete = complete & F.col(key).isNotNull()
     alone = start.filter(~complete).groupBy(*keys, "members").agg(F.min("origin").alias("origin"))
-    start = start.filter(complete)
+    listed = start.filter(complete).filter(F.size("members") > 0)
+    listed = cut_lineage(listed.withColumn("_list", F.md5(F.to_json(F.struct(*listed.columns)))).dropDuplicates(["_list"]))
+    places = F.transform("members", lambda v: F.md5(F.to_json(F.struct(*keys, v.alias("value")))))
+    small = cut_lineage(small_components(listed.withColumn("_places", places), "_list", "_places", rounds + 1))
+    whole = (
+        listed.join(small, "_list")
+        .groupBy(*keys, "component")
+        .agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("members")))).alias("members"), F.min("origin").alias("origin"))
+        .select(*keys, "members", "origin")
+    )
+    start = listed.join(small.select("_list"), "_list", "left_anti").drop("_list")
+    if start.isEmpty():
+        walked = whole.limit(0)
+    else:
+        walked = _walk_sets(start, keys, rounds)
+    return walked.unionByName(whole).unionByName(alone).select(
+        *keys,
+        "members",
+        F.get("origin.start_list", F.lit(0)).alias("first_value"),
+        F.col("origin.first_seen_date").alias("first_seen_date"),
+    )
+
+
+def _walk_sets(start: DataFrame, keys: Sequence[str], rounds: int) -> DataFrame:
+    """(keys, members, origin) of all sets that walks over the lists of ``start`` have gathered in the end."""
     state = start.groupBy(*keys, "members").agg(F.min("origin").alias("origin"))
 
     # Equal sets are one candidate with a weight.
@@ -251,12 +280,7 @@ def merge_lists_transitive(
             .select(*keys, "members", "origin")
         )
 
-    return state.unionByName(alone).select(
-        *keys,
-        "members",
-        F.get("origin.start_list", F.lit(0)).alias("first_value"),
-        F.col("origin.first_seen_date").alias("first_seen_date"),
-    )
+    return state
 
 
 def canonical_value_map(
