@@ -162,3 +162,34 @@ def test_the_job_appends_complete_batches_and_asks_again_for_the_rest(spark, tmp
     table = spark.read.parquet(path)
     assert sorted(r.uuid for r in table.collect()) == [f"u{i}" for i in range(5)]
     assert sc.score_into(path, source, second, run_ts(), "m").first().total == 0
+
+
+def test_repeated_and_missing_rows_of_a_batch(spark):
+    """A row asked for twice is found once, so its batch stays incomplete; a null uuid is never found."""
+    answer = scores("a", diet=1) + "\n" + scores("b") + "\n" + scores("z")
+    parsed, _ = parse(spark, [answer, answer, None], (0, "a"), (0, "a"), (0, "b"), (1, "a"), (1, "b"), (2, "c"))
+    found = bag(parsed, "batch_id", "uuid", "goals_freeform", "batch_complete")
+    assert found == [(0, "a", "text a", False), (0, "b", "text b", False), (1, "a", "text a", True), (1, "b", "text b", True)]
+    asked = spark.createDataFrame([(0, 1, None, "t", "p", True), (0, 2, "a", "t", "p", None)], REQUESTS)
+    answers = spark.createDataFrame([(0, answer), (7, answer)], "batch_id long, response string")
+    assert bag(sc.parse_scores(answers, asked, run_ts(), "m"), "uuid", "batch_complete") == [("a", False)]
+    assert sc.parse_scores(answers.limit(0), asked, run_ts(), "m").count() == 0
+
+
+def test_parsing_meets_the_rows_once(spark):
+    requests = spark.range(200).select(
+        F.col("id").cast("string").alias("uuid"), F.lit("t").alias("goals_freeform"), F.lit("p").alias("protocol"), F.lit(True).alias("is_new")
+    )
+    asked = sc.cut_lineage(sc.number_batches(requests))
+    answers = sc.cut_lineage(asked.groupBy("batch_id").agg(F.array_join(F.collect_list(F.format_string('{"uuid": "%s", "mood": 1}', "uuid")), "\n").alias("response")))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        parsed = sc.parse_scores(answers, asked, run_ts(), "m")
+        assert parsed.filter("batch_complete and mood = 1").count() == 200
+        parsed.collect()
+        plan = parsed._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert plan.count("SortMergeJoin") == 1 and plan.count("Exchange hashpartitioning") <= 2
+

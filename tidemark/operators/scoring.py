@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions import exists
-from tidemark.operators.keys import latest_per_key, number_rows
+from tidemark.operators.keys import number_rows
 from tidemark.session import cut_lineage
 from tidemark.sources.tables import append_rows, read_or_empty
 
@@ -150,22 +150,17 @@ def _objects(text: Column) -> Column:
     return F.flatten(F.filter(F.array(parsed), lambda found: F.size(found) == 1))
 
 
-def _value(key: str) -> Column:
-    """Value of a key of the parsed object; of a repeated key, the last one."""
-    values = F.map_values(F.map_filter("object", lambda name, _: name == key))
+def _value(found: Column, key: str) -> Column:
+    """Value of a key of a parsed object; of a repeated key, the last one."""
+    values = F.map_values(F.map_filter(found, lambda name, _: name == key))
     return F.try_element_at(values, F.lit(-1))
 
 
-def _matched(objects: DataFrame, requests: DataFrame) -> DataFrame:
-    """Objects that name a row of their batch; of several, the last one.
-
-    An outer explode: the plain one would parse every line again in a filter below
-    itself. The join drops what is no object.
-    """
-    objects = objects.select("batch_id", "place", F.explode_outer(_objects(F.col("line"))).alias("object"))
-    known = requests.select("batch_id", "uuid").distinct()
-    named = objects.withColumn("uuid", _value("uuid")).join(known, ["batch_id", "uuid"])
-    return latest_per_key(named, ["batch_id", "uuid"], [F.col("place").desc()])
+def _named(texts: Column, uuids: Column) -> Column:
+    """Of texts that are JSON objects, those that name one of ``uuids``, in order: (uuid, object)."""
+    objects = F.flatten(F.transform(texts, _objects))
+    named = F.transform(objects, lambda found: F.struct(_value(found, "uuid").alias("uuid"), found.alias("object")))
+    return F.filter(named, lambda found: F.array_contains(uuids, found["uuid"]))
 
 
 def parse_scores(
@@ -177,52 +172,61 @@ def parse_scores(
 ) -> DataFrame:
     """Parsed scores with the request's own columns and ``batch_complete``.
 
-    ``responses``: ``batch_id``, ``response``; ``requests``: numbered rows. Lines
-    are tried first; only a batch in which no line names one of its rows is
-    searched for objects anywhere in the text. ``accept`` rejects responses
-    before they are read. Both parsers read ``responses``: hand in a frame that
-    was cut or written, so that no scorer runs twice.
+    ``responses``: ``batch_id``, ``response``, one row per batch; ``requests``: numbered
+    rows. Lines are tried first; only a response in which no line names one of its rows is
+    searched for objects anywhere in the text. Of several objects for a row the last counts,
+    of several rows with one uuid the first; a batch is complete when every row was found.
+    ``accept`` rejects responses before they are read.
+
+    A batch meets its rows once and is parsed inside its own row, which is bounded by the
+    batch size and the response; only the found rows come out of it.
     """
     kept = responses if accept is None else responses.filter(accept)
+    row = F.struct("position", "uuid", "goals_freeform", "protocol", "is_new")
+    asked = requests.groupBy("batch_id").agg(F.array_sort(F.collect_list(row)).alias("rows"))
     unfenced = F.regexp_replace(F.regexp_replace("response", "```json\\s*", ""), "```\\s*", "")
-    texts = kept.select("batch_id", unfenced.alias("content"))
+    batches = (
+        kept.select("batch_id", unfenced.alias("content"))
+        .join(asked, "batch_id")
+        .withColumn("uuids", F.transform("rows", lambda r: r["uuid"]))
+    )
 
-    lines = (
-        texts.select("batch_id", F.posexplode(F.split("content", "\n")).alias("place", "line"))
-        .withColumn("line", F.regexp_replace("line", r"^\s+|\s+$", ""))
-        .filter(F.col("line").startswith("{"))
+    trimmed = F.transform(F.split("content", "\n"), lambda line: F.regexp_replace(line, r"^\s+|\s+$", ""))
+    lines = F.filter(trimmed, lambda line: line.startswith("{"))
+    anywhere = F.regexp_extract_all("content", F.lit(_OBJECT), F.lit(0))
+    # Columns of their own: each is used more than once and so is not worked out again.
+    batches = batches.withColumn("by_line", _named(lines, F.col("uuids")))
+    batches = batches.withColumn(
+        "found", F.when(F.size("by_line") > 0, F.col("by_line")).otherwise(_named(anywhere, F.col("uuids")))
     )
-    by_line = _matched(lines, requests)
-    silent = texts.join(by_line.select("batch_id").distinct(), "batch_id", "left_anti")
-    anywhere = silent.select(
-        "batch_id",
-        F.posexplode(F.regexp_extract_all("content", F.lit(_OBJECT), F.lit(0))).alias("place", "line"),
+    firsts = F.filter("rows", lambda r, i: F.array_position("uuids", r["uuid"]) == i + 1)
+    answered = F.transform(
+        firsts,
+        lambda r: F.struct(
+            r.alias("row"),
+            F.try_element_at(F.filter("found", lambda f: f["uuid"] == r["uuid"]), F.lit(-1))["object"].alias("object"),
+        ),
     )
-    parsed = by_line.unionByName(_matched(anywhere, requests))
-
-    asked = requests.groupBy("batch_id").agg(F.count(F.lit(1)).alias("_asked"))
-    found = parsed.groupBy("batch_id").agg(F.count(F.lit(1)).alias("_found"))
-    complete = asked.join(found, "batch_id").select(
-        "batch_id", (F.col("_asked") == F.col("_found")).alias("batch_complete")
+    batches = batches.withColumn("answered", F.filter(answered, lambda a: a["object"].isNotNull()))
+    complete = F.size("answered") == F.size("rows")
+    # An outer explode: the plain one would work out its list again in a filter below itself.
+    parsed = (
+        batches.select("batch_id", complete.alias("batch_complete"), F.explode_outer("answered").alias("a"))
+        .filter(F.col("a").isNotNull())
+        .select("batch_id", "batch_complete", "a.row.*", "a.object")
     )
-    originals = latest_per_key(requests, ["batch_id", "uuid"], [F.col("position")])
-    scores = [_value(c) for c in CATEGORIES]
-    return (
-        originals.select("batch_id", "uuid", "goals_freeform", "protocol", "is_new")
-        .join(parsed, ["batch_id", "uuid"])
-        .join(complete, "batch_id")
-        .select(
-            "batch_id",
-            "batch_complete",
-            "uuid",
-            "goals_freeform",
-            "protocol",
-            "is_new",
-            run_ts.alias("scored_at"),
-            F.lit(model_version).alias("model_version"),
-            F.coalesce(*scores).isNull().alias("is_unscorable"),
-            *[s.try_cast("bigint").alias(c) for s, c in zip(scores, CATEGORIES, strict=True)],
-        )
+    scores = [_value(F.col("object"), c) for c in CATEGORIES]
+    return parsed.select(
+        "batch_id",
+        "batch_complete",
+        "uuid",
+        "goals_freeform",
+        "protocol",
+        "is_new",
+        run_ts.alias("scored_at"),
+        F.lit(model_version).alias("model_version"),
+        F.coalesce(*scores).isNull().alias("is_unscorable"),
+        *[s.try_cast("bigint").alias(c) for s, c in zip(scores, CATEGORIES, strict=True)],
     )
 
 
