@@ -124,3 +124,24 @@ def test_a_plan_in_two_chains_compares_every_copy_with_every_copy_before(spark):
     assert all(r["sale_flag"] and r["price_previous_report_dt"] == 100.0 for r in second)
     assert {r["latest_sale_dt"] for r in second} == {day("2024-10-17")}
     assert {r["sale_count"] for r in first} == {0} and {r["sale_count"] for r in second} == {4}
+
+
+def test_snapshots_are_read_and_dealt_once(spark, tmp_path):
+    """One scan of the listings; one shuffle by homesite besides those that the communities' join may take."""
+    path = str(tmp_path / "named")
+    data = [(f"h{k % 7}", f"2024-10-{17 + k // 7}", ("Now Selling", "Under Contract", None)[k % 3], str(k)) for k in range(49)]
+    clean = li.clean_listings(raw(spark, data), FLOOR)
+    clean.withColumnRenamed("community_id", "c").withColumnRenamed("c", "community_id").write.parquet(path)
+    communities = spark.createDataFrame([("C", day("2024-10-15"), "Area", day("2024-10-20"))], "community_id string, report_date date, area_name string, first_seen_avail_dt date")
+    changes = li.snapshot_changes(spark.read.parquet(path), communities)
+    assert len(changes.collect()) == 49
+    plan = changes._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("FileScan parquet") == 1
+    assert plan.count("hashpartitioning(homesite_id") == 1
+
+
+def test_rows_without_a_homesite_have_no_day_before(spark):
+    data = [("a", "2024-10-17", "Now Selling", "100"), ("a", "2024-10-18", "Under Contract", "90"), (None, "2024-10-17", "Now Selling", "7"), (None, "2024-10-18", "Under Contract", "8")]
+    found = through(spark, data)
+    assert [r["price_previous_report_dt"] for r in found if r["homesite_id"] is None] == [None, None]
+    assert [r["price_previous_report_dt"] for r in found if r["homesite_id"] == "a"] == [None, 100.0]

@@ -151,8 +151,9 @@ def snapshot_changes(listings: DataFrame, communities: DataFrame) -> DataFrame:
 
     A plan that stands in several chains gives several rows per homesite and day.
     Each of a day's rows meets each of the previous report day's, so the result
-    has their product. Every homesite's day holds its previous rows as one list,
-    carried over from the day before by a window over days; the table is read once.
+    has their product. The rows are dealt by homesite once; a homesite's day becomes
+    one row that holds them all, takes over what it compares with from the day before
+    and gives its rows back. The listings are read once.
     """
     latest = latest_per_key(
         communities, ["community_id"], [F.col("report_date").desc_nulls_first(), F.col("area_name")]
@@ -164,21 +165,26 @@ def snapshot_changes(listings: DataFrame, communities: DataFrame) -> DataFrame:
     cancel = known_before & before.isin(*OFF_MARKET) & (status == FOR_SALE)
     took_effect = known_before & (F.coalesce(before, F.lit("")) == "") & (status == SOLD)
     until = F.when(status.isin(*OFF_MARKET), F.col("latest_sale_dt")).otherwise(F.col("report_date"))
-    previous = (
-        listings.groupBy("homesite_id", "report_date")
-        .agg(
-            F.collect_list(
-                F.struct(F.col("price").alias("price_previous_report_dt"), F.col("status").alias("status_previous_report_dt"))
-            ).alias("_rows")
-        )
-        .withColumn("_previous", F.lag("_rows").over(_by_day()))
-        .select(F.col("homesite_id").alias("_home"), F.col("report_date").alias("_day"), "_previous")
+    named = left_join(listings, latest, ["community_id"], ["homesite_id", "report_date"])
+    day = ["homesite_id", "report_date"]
+    compared = F.transform(
+        "_rows",
+        lambda r: F.struct(r["price"].alias("price_previous_report_dt"), r["status"].alias("status_previous_report_dt")),
+    )
+    # Dealt by homesite, the days below are groups and windows of one shuffle.
+    days = named.repartition("homesite_id").groupBy(*day).agg(
+        F.collect_list(F.struct(*[c for c in named.columns if c not in day])).alias("_rows")
+    )
+    carried = F.when(F.col("homesite_id").isNotNull(), F.lag("_compared").over(_by_day()))
+    paired = (
+        days.withColumn("_compared", compared)
+        .withColumn("_previous", carried)
+        .select(*day, "_previous", F.explode("_rows").alias("_row"))
+        .select(*day, "_previous", "_row.*")
+        .select(*named.columns, F.explode_outer("_previous").alias("_before"))
     )
-    own_day = (F.col("homesite_id") == F.col("_home")) & (F.col("report_date") == F.col("_day"))
     return (
-        left_join(listings, latest, ["community_id"], ["homesite_id", "report_date"])
-        .join(previous, own_day, "left")
-        .withColumn("_before", F.explode_outer("_previous"))
+        paired
         .withColumns(
             {
                 "price_previous_report_dt": F.col("_before.price_previous_report_dt"),
@@ -186,7 +192,7 @@ def snapshot_changes(listings: DataFrame, communities: DataFrame) -> DataFrame:
                 "earliest_price": F.first("price", ignorenulls=True).over(_whole()),
             }
         )
-        .drop("_home", "_day", "_previous", "_before")
+        .drop("_before")
         .withColumn("sale_flag", exists(sale))
         .withColumn("cancel_flag", exists(cancel))
         .withColumns(
