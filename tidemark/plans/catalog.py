@@ -215,8 +215,11 @@ _SPOT = ["date_day", "uuid", "admin_user_id", "protocol", "subscription_sequence
 
 
 def q_day_flags(spark: SparkSession, folder: str) -> DataFrame:
-    columns = """cancelled_today paused_today is_new_subscription is_new_user is_new_protocol_user
-    is_past_renewal_date has_plan_change cancellation_reason past_pause_at future_pause_at""".split()
+    # The flags of the daily table.
+    columns = (
+        "cancelled_today", "paused_today", "is_new_subscription", "is_new_user", "is_new_protocol_user",
+        "is_past_renewal_date", "has_plan_change", "cancellation_reason", "past_pause_at", "future_pause_at",
+    )
     return plain(_flags(spark, folder).select(*_SPOT, *columns))
 
 
