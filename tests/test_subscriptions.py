@@ -157,3 +157,53 @@ def test_two_products_of_one_protocol_leave_one_row_whatever_the_partitions(spar
         assert len(flags) == 1
         seen.add((flags[0].system_cancellation_reason, flags[0].intended_cancellation_date))
     assert len(seen) == 1
+
+
+def unkeyed_days(spark):
+    """Nine hundred subscription days: a third without a protocol, a third of those without a user either."""
+    subs = []
+    for k in range(90):
+        protocol, user = (None if k % 3 == 0 else "Weight Loss"), (None if k % 9 == 0 else f"u{k % 20}")
+        subs.append(sub(f"s{k}", "2025-07-01", user=user, protocol=protocol, sequence=k))
+    pauses = [(f"u{k}", "Weight Loss", day("2025-07-03"), day("2025-07-02"), ts("2025-07-03 00:00"), None) for k in range(20)]
+    pauses += [(None, None, day("2025-07-03"), day("2025-07-02"), ts("2025-07-03 00:00"), None)]
+    billing = [("u1", day("2025-07-04"), ts("2025-07-04 12:00"), day("2025-07-04"))]
+    return subs, state(spark, subs, "2025-07-10", pauses=pauses, billing=billing)
+
+
+def test_days_without_a_key_are_spread_and_match_nothing(spark):
+    before = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    for key, value in zip(before, ("-1", "8", "false")):
+        spark.conf.set(key, value)
+    try:
+        subs, daily = unkeyed_days(spark)
+        tasks = sorted(r["count"] for r in daily.groupBy(F.spark_partition_id().alias("task")).count().collect())
+        plan = daily._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    assert sum(tasks) == 900 and tasks[-1] <= 2 * tasks[len(tasks) // 2]
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+    paused = {r.uuid for r in daily.filter("is_paused").collect()}
+    assert paused == {s[0] for s in subs if s[1] and s[2]}
+    billed = {r.uuid for r in daily.filter("has_billing_issue").collect()}
+    assert billed == {s[0] for s in subs if s[1] == "u1"}
+
+
+def test_first_days_of_rows_without_a_user(spark):
+    """To a window all rows without a user are one user; found apart, their flags are those of that window."""
+    _, daily = unkeyed_days(spark)
+    found = rows(pipeline(spark, daily), "date_day", "uuid")
+    for keys, flag in ((("admin_user_id",), "is_new_user"), (("admin_user_id", "protocol"), "is_new_protocol_user")):
+        first = {}
+        for r in found:
+            place = tuple((r[c] is not None, r[c]) for c in (("date_day", "protocol", "start_date_pst", "uuid") if len(keys) == 1 else ("date_day", "start_date_pst", "uuid")))
+            owner = tuple(r[k] for k in keys)
+            first[owner] = min(first.get(owner, place), place)
+        for r in found:
+            place = tuple((r[c] is not None, r[c]) for c in (("date_day", "protocol", "start_date_pst", "uuid") if len(keys) == 1 else ("date_day", "start_date_pst", "uuid")))
+            assert r[flag] == (place == first[tuple(r[k] for k in keys)])
+    new = {(r["uuid"], r["date_day"].day) for r in found if r["is_new_subscription"]}
+    assert new == {(f"s{k}", 1) for k in range(90)}
+    began = {r["uuid"] for r in found if r["paused_today"]}
+    assert began == {r["uuid"] for r in found if r["is_paused"]}

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from tidemark.functions import exists, local_date, local_datetime, rounded_long
 from tidemark.operators.cancellations import BUSINESS_ZONE
 from tidemark.operators.intervals import expand_days, nearest_pauses
-from tidemark.operators.keys import latest_per_key
+from tidemark.operators.keys import latest_per_key, left_join
+from tidemark.session import cut_lineage
 
 # Protocols without renewals, the product with its own first term
 # and the day that term came in, and products reported under another name.
@@ -37,14 +38,12 @@ def _within_term(day: str) -> Column:
     )
 
 
-def _attach(state: DataFrame, daily: DataFrame, keys: Sequence[str], event_day: str, *extra: Column):
+def _attach(state: DataFrame, daily: DataFrame, keys: Sequence[str], event_day: str, salt: str, *extra: Column):
+    """Left join on ``keys``; days without one of them are spread over the tasks, alike for all joins of one ``salt``."""
     condition = _within_term(event_day)
     for predicate in extra:
         condition = condition & predicate
-    renamed = daily.withColumnsRenamed({k: f"_{k}" for k in keys})
-    for key in keys:
-        condition = (F.col(key) == F.col(f"_{key}")) & condition
-    return state.join(renamed, condition, "left").drop(*[f"_{k}" for k in keys])
+    return left_join(state, daily, keys, ["uuid", "date_day", "subscription_sequence"], condition, salt=salt)
 
 
 def subscription_daily(
@@ -62,7 +61,8 @@ def subscription_daily(
     Subscriptions are expanded to their own days (up to ``as_of``) and the daily
     inputs meet them by equality on user, protocol and day; that an event belongs
     to the subscription's term is a condition on top. Five of the six joins use
-    the same three keys, so the expanded frame is shuffled once for them.
+    the same three keys, so the expanded frame is shuffled once for them. Days of an
+    unknown user or protocol match nothing and are spread over the tasks.
     """
     spine = expand_days(
         subscriptions, "start_date_pst", ["next_start_date_pst"], calendar, day="date_day", last=as_of
@@ -119,12 +119,12 @@ def subscription_daily(
     # five joins on one partitioning.
     same_sequence = F.col("_order_sequence") - F.col("subscription_sequence") == 0
 
-    joined = _attach(spine, billing, ["admin_user_id", "date_day"], "billing_issue_from_date_pst")
-    joined = _attach(joined, pauses, _SPOT, "pause_created_at_dt_pst")
-    joined = _attach(joined, active, _SPOT, "_c_day")
-    joined = _attach(joined, announced, _SPOT, "_f_created_day")
-    joined = _attach(joined, renewals, _SPOT, "created_at_dt_pst")
-    joined = _attach(joined, orders, _SPOT, "last_transaction_dt", same_sequence)
+    joined = _attach(spine, billing, ["admin_user_id", "date_day"], "billing_issue_from_date_pst", "_user_salt")
+    joined = _attach(joined, pauses, _SPOT, "pause_created_at_dt_pst", "_spot_salt")
+    joined = _attach(joined, active, _SPOT, "_c_day", "_spot_salt")
+    joined = _attach(joined, announced, _SPOT, "_f_created_day", "_spot_salt")
+    joined = _attach(joined, renewals, _SPOT, "created_at_dt_pst", "_spot_salt")
+    joined = _attach(joined, orders, _SPOT, "last_transaction_dt", "_spot_salt", same_sequence)
 
     day, order_day = F.col("date_day"), F.col("last_transaction_dt")
     since_order = F.datediff(day, order_day)
@@ -226,7 +226,9 @@ def day_over_day_flags(
     Pauses are resolved and rows reduced to one per (day, user, protocol,
     sequence) before any flag is set, so a first-day flag cannot be lost with a
     duplicate. All windows here and in the period flags start from the user, so
-    they share one shuffle.
+    they share one shuffle. Rows without a user are one user to a window; they are set
+    aside, and their first days are found by aggregates, which no task does alone. The
+    rows are written once for these readers.
     """
     paused = nearest_pauses(state, pauses, calendar, as_of)
     unique = latest_per_key(
@@ -239,20 +241,30 @@ def day_over_day_flags(
             *[F.col(c).asc_nulls_first() for c in ("uuid", *_TIE_BREAK) if c in paused.columns],
         ],
     )
-    same = _yesterday(["admin_user_id", "uuid"])
-    known = F.col("uuid").isNotNull()
-    cancelled_before = exists(F.max(F.when(known, F.col("is_cancelled_today"))).over(same))
-    paused_before = exists(F.max(F.when(known, F.col("is_paused"))).over(same))
-    there_before = F.count(F.when(known, 1)).over(same) > 0
-    user = Window.partitionBy("admin_user_id").orderBy("date_day", "protocol", "start_date_pst", "uuid")
-    user_protocol = Window.partitionBy("admin_user_id", "protocol").orderBy("date_day", "start_date_pst", "uuid")
+    unique = cut_lineage(unique)
+    named = unique.filter(F.col("admin_user_id").isNotNull())
+    nameless = unique.filter(F.col("admin_user_id").isNull())
+
+    user = Window.partitionBy("admin_user_id").orderBy(*_FIRST_IN["user"])
+    user_protocol = Window.partitionBy("admin_user_id", "protocol").orderBy(*_FIRST_IN["protocol"])
     # The user's own window first: its partitioning serves the finer ones.
-    return unique.withColumn("is_new_user", F.row_number().over(user) == 1).withColumns(
+    named = named.withColumn("is_new_user", F.row_number().over(user) == 1)
+    named = named.withColumn("is_new_protocol_user", F.row_number().over(user_protocol) == 1)
+
+    in_all, in_protocol = (F.struct(*_FIRST_IN[k]) for k in ("user", "protocol"))
+    first = nameless.agg(F.min(in_all).alias("first")).scalar()
+    firsts = nameless.groupBy(F.col("protocol").alias("_protocol")).agg(F.min(in_protocol).alias("_first"))
+    nameless = nameless.join(firsts, F.col("protocol").eqNullSafe(F.col("_protocol")), "left")
+    nameless = nameless.withColumn("is_new_user", in_all.eqNullSafe(first))
+    nameless = nameless.withColumn("is_new_protocol_user", in_protocol.eqNullSafe(F.col("_first"))).drop("_protocol", "_first")
+    spread = F.when(F.col("uuid").isNull(), F.xxhash64("date_day", "protocol", "subscription_sequence"))
+    nameless = nameless.withColumn("_spread", spread)
+
+    flagged = _against_yesterday(named, ["admin_user_id", "uuid"]).unionByName(
+        _against_yesterday(nameless, ["uuid", "_spread"]).drop("_spread")
+    )
+    return flagged.withColumns(
         {
-            "cancelled_today": F.col("is_cancelled_today") & ~cancelled_before,
-            "paused_today": F.col("is_paused") & ~paused_before,
-            "is_new_subscription": known & ~there_before,
-            "is_new_protocol_user": F.row_number().over(user_protocol) == 1,
             "is_past_renewal_date": exists(
                 F.col("date_day") > F.date_add(F.to_date("renewal_or_end_date"), GRACE_DAYS)
             ),
@@ -266,6 +278,29 @@ def day_over_day_flags(
     )
 
 
+#: Orders in which a user's, and a user's and protocol's, first day is the first; total within each.
+_FIRST_IN = {
+    "user": ("date_day", "protocol", "start_date_pst", "uuid", "subscription_sequence"),
+    "protocol": ("date_day", "start_date_pst", "uuid", "subscription_sequence"),
+}
+
+
+def _against_yesterday(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """What began on the day, against the day before of the same subscription."""
+    same = _yesterday(keys)
+    known = F.col("uuid").isNotNull()
+    cancelled_before = exists(F.max(F.when(known, F.col("is_cancelled_today"))).over(same))
+    paused_before = exists(F.max(F.when(known, F.col("is_paused"))).over(same))
+    there_before = F.count(F.when(known, 1)).over(same) > 0
+    return rows.withColumns(
+        {
+            "cancelled_today": F.col("is_cancelled_today") & ~cancelled_before,
+            "paused_today": F.col("is_paused") & ~paused_before,
+            "is_new_subscription": known & ~there_before,
+        }
+    )
+
+
 def active_flag(flags: DataFrame) -> DataFrame:
     """Whether the subscription counts as active on the day."""
     active = (
@@ -287,23 +322,18 @@ def protocol_transitions(active: DataFrame) -> DataFrame:
     since both sides read it.
     """
     before = active.select(
-        F.col("admin_user_id").alias("_user"),
-        F.col("protocol").alias("_protocol"),
-        F.date_add("date_day", 1).alias("_day"),
+        "admin_user_id",
+        "protocol",
+        F.date_add("date_day", 1).alias("date_day"),
         F.col("is_active").alias("_was_active"),
         F.col("is_bnpl").alias("_was_bnpl"),
     )
-    same_protocol = (
-        (F.col("admin_user_id") == F.col("_user"))
-        & (F.col("protocol") == F.col("_protocol"))
-        & (F.col("date_day") == F.col("_day"))
-    )
     return (
-        active.join(before, same_protocol, "left")
+        left_join(active, before, _SPOT, ["uuid", "date_day", "subscription_sequence"])
         .withColumn("reactivated_today", exists(~F.col("_was_active") & F.col("is_active")))
         .withColumn("became_bnpl_today", exists((F.col("_was_bnpl") == "No") & (F.col("is_bnpl") == "Yes")))
         .withColumn("exited_bnpl_today", exists((F.col("_was_bnpl") == "Yes") & (F.col("is_bnpl") == "No")))
-        .drop("_user", "_protocol", "_day", "_was_active", "_was_bnpl")
+        .drop("_was_active", "_was_bnpl")
     )
 
 
