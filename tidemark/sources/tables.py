@@ -32,11 +32,22 @@ def append_rows(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
 
+def _located(spark: SparkSession, path: str):
+    """The file system that owns ``path``, and the path as it knows it."""
+    location = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return location.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), location
+
+
 def table_exists(spark: SparkSession, path: str) -> bool:
     """Whether ``path`` holds anything, asked of the file system that owns it."""
-    jvm = spark.sparkContext._jvm
-    location = jvm.org.apache.hadoop.fs.Path(path)
-    return location.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(location)
+    system, location = _located(spark, path)
+    return system.exists(location)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a folder and what is in it; one that is not there is no error."""
+    system, location = _located(spark, path)
+    system.delete(location, True)
 
 
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
