@@ -9,10 +9,12 @@ from tidemark.functions import exists, local_date, local_datetime
 from tidemark.operators.intervals import expand_days
 
 # Event names, the reasons that mark a system-made cancellation,
-# the start of the first interval and the zone of the business day.
+# the final order of the daily table, the start of the first interval and the zone of the
+# business day.
 CANCELLED = "Values::Events::AccountCancelled"
 UNCANCELLED = "Values::Events::AccountUncancelled"
 SYSTEM_REASONS = ("Inactive System Cancel", "30+ days of billing issue")
+CANCEL_DAILY_ORDER = ("admin_user_id", "protocol", "cancelled_at", "day_date")
 FIRST_VALID_FROM = "1900-01-01 00:00:00"
 BUSINESS_ZONE = "America/Los_Angeles"
 

@@ -766,6 +766,19 @@ def signal_scorer() -> Scorer:
     return score
 
 
+def faulty_scorer() -> Scorer:
+    """The signal scorer with token counts; by the first row's number some batches fail and some are too short."""
+    score = signal_scorer()
+
+    def answer(text: str, rows: list[dict]) -> tuple[str, int]:
+        first = int(rows[0]["uuid"])
+        if first % 7 == 0:
+            raise RuntimeError("no answer")
+        return score(text, rows), 999 if first % 5 == 0 else 1000
+
+    return answer
+
+
 def made_responses(requests: DataFrame) -> DataFrame:
     """Raw responses with the faults a scorer shows, derived from the batch numbers.
 

@@ -10,14 +10,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators import chains, listings, requests, scoring, subscriptions
-from tidemark.operators.cancellations import cancel_daily, cancellation_timeline
+from tidemark.operators.cancellations import CANCEL_DAILY_ORDER, cancel_daily, cancellation_timeline
 from tidemark.operators.intervals import expand_days, nearest_pauses, point_in_time_join
 from tidemark.operators.keys import latest_per_key
 from tidemark.operators.streaks import status_streaks
 from tidemark.plans import bindings as b
 from tidemark.session import checkpoint_dir, cut_lineage
-from tidemark.sources.bundles import FLAT_SCHEMA, flatten_bundles, read_bundles
+from tidemark.sources.bundles import FLAT_SCHEMA, flatten_bundles, load_flat, read_bundles
+from tidemark.sources.tables import read_numbered, write_ordered
 from tidemark.sources.upsert import KeyedTable, high_water_mark, newer_than_target, run_record, sync, upsert
+from tidemark.streaming.bundles import bundle_stream, stream_into
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -350,6 +352,41 @@ def q_landed_upsert(spark: SparkSession, folder: str) -> DataFrame:
     return plain(table.read())
 
 
+def q_redelivered_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """Pages landed on a file stream in three runs, each run's pages older than the next one's last; old versions come last."""
+    place = f"{checkpoint_dir(spark)}/{uuid.uuid4().hex}"
+    table = KeyedTable(spark, f"{place}/table", FLAT_SCHEMA, buckets=8)
+    mark, middle = F.col("meta_lastupdated"), "1995-01-01T00:00:00.000Z"
+    newest, old = mark > b.UPSERT_CUT, mark <= middle
+    for run, part in enumerate((~newest & ~old, newest, old | newest)):
+        b.bundles(spark, folder, part).write.json(f"{place}/landed/run={run}")
+        stream_into(table, bundle_stream(spark, f"{place}/landed/*"), f"{place}/checkpoint").awaitTermination()
+    return plain(table.read().drop("_sync_timestamp"))
+
+
+def q_bulk_load(spark: SparkSession, folder: str) -> DataFrame:
+    """Flat rows as newline-delimited JSON with a field the table does not know, loaded in two parts."""
+    place = f"{checkpoint_dir(spark)}/{uuid.uuid4().hex}"
+    rows = b.request_versions(spark, folder).withColumn("_sync_timestamp", F.lit(b.SCORED_AT).cast("timestamp"))
+    newer = F.col("meta_lastupdated") > b.UPSERT_CUT
+    for part, wanted in enumerate((~newer, newer)):
+        lines = rows.filter(wanted).select(F.to_json(F.struct(*FLAT_SCHEMA.names, F.lit(part).alias("not_known"))))
+        lines.write.text(f"{place}/landed/{part}")
+        load_flat(spark, f"{place}/landed/{part}", f"{place}/table")
+    return plain(spark.read.schema(FLAT_SCHEMA).parquet(f"{place}/table"))
+
+
+# --- tables ----------------------------------------------------------------------
+
+
+def q_ordered_days(spark: SparkSession, folder: str) -> DataFrame:
+    """Places of the daily cancellations in the table that is written in their final order."""
+    days = cut_lineage(_cancel_days(spark, folder, b.event_calendar(spark, folder)))
+    path = f"{checkpoint_dir(spark)}/{uuid.uuid4().hex}"
+    write_ordered(days, path, [F.col(c).asc_nulls_first() for c in (*CANCEL_DAILY_ORDER, "product_name")])
+    return plain(read_numbered(spark, path, days.schema).select("position", "admin_user_id", "product_name", "cancelled_at", "day_date"))
+
+
 # --- scoring -------------------------------------------------------------------
 
 
@@ -389,6 +426,21 @@ def q_score_summary(spark: SparkSession, folder: str) -> DataFrame:
     return scoring.run_summary(asked, parsed)
 
 
+def q_score_rerun(spark: SparkSession, folder: str) -> DataFrame:
+    """The table after three runs of the scoring job.
+
+    The first run takes 300 rows; some of its batches fail and some come back too short.
+    The second finds all that are left, and the third finds nothing and writes nothing.
+    """
+    path = f"{checkpoint_dir(spark)}/{uuid.uuid4().hex}"
+    options = {"accept": scoring.long_enough(), "size": scoring.BATCH_SIZE}
+    stamp = F.lit(b.SCORED_AT).cast("timestamp")
+    for run, limit in (("run-1", 300), ("run-2", None), ("run-3", None)):
+        scorer = b.faulty_scorer() if run == "run-1" else b.signal_scorer()
+        scoring.score_into(path, b.intakes(spark, folder), scorer, stamp, run, limit=limit, **options)
+    return plain(spark.read.schema(scoring.SCORED_SCHEMA).parquet(path))
+
+
 QUERIES: dict[str, Query] = {
     name.removeprefix("q_"): function for name, function in list(globals().items()) if name.startswith("q_")
 }

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -55,3 +57,23 @@ def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataF
     if table_exists(spark, path):
         return spark.read.schema(schema).parquet(path)
     return spark.createDataFrame([], schema)
+
+
+def write_ordered(df: DataFrame, path: str, order: Sequence[Column]) -> None:
+    """Write a table whose files, by number, and rows within them follow ``order``.
+
+    Ranges of the order are dealt to tasks after a sample of it, so hand in a written frame;
+    rows that are equal in ``order`` share a task.
+    """
+    df.repartitionByRange(*order).sortWithinPartitions(*order).write.mode("overwrite").parquet(path)
+
+
+def read_numbered(spark: SparkSession, path: str, schema: T.StructType, name: str = "position") -> DataFrame:
+    """Rows of an ordered table with their place in it, from 1; only the files' sizes are added up in one place."""
+    number = F.regexp_extract("_metadata.file_name", r"part-(\d+)", 1).cast("bigint")
+    rows = spark.read.schema(schema).parquet(path).select(
+        "*", F.struct(number.alias("n"), "_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_row")
+    )
+    before = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
+    starts = rows.groupBy("_file").agg(F.count(F.lit(1)).alias("_n")).select("_file", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    return rows.join(starts, "_file").withColumn(name, F.col("_start") + F.col("_row") + 1).drop("_file", "_row", "_start")

@@ -22,16 +22,21 @@ def bundle_stream(spark: SparkSession, path: str, files_per_batch: int = 1000) -
 
 
 def keep_newest(batch: DataFrame, table: KeyedTable) -> None:
-    """Upsert one micro-batch; a re-delivered or older version changes nothing."""
+    """Upsert one micro-batch; a re-delivered or older version changes nothing.
+
+    The newer of two versions has the later ``meta_lastupdated``, of equal ones the higher
+    ``meta_versionid`` (as text).
+    """
     if batch.isEmpty():
         return
-    known = table.read().select("id", F.col("meta_lastupdated").alias("_known"))
+    age = ("meta_lastupdated", "meta_versionid")
+    known = table.read().select("id", F.struct(*age).alias("_known"))
     fresh = cut_lineage(
         batch.join(known, "id", "left")
-        .filter(F.col("_known").isNull() | (F.col("meta_lastupdated") > F.col("_known")))
+        .filter(F.col("_known").isNull() | (F.struct(*age) > F.col("_known")))
         .drop("_known")
     )
-    table.merge(fresh, [F.col("meta_lastupdated").desc_nulls_last()])
+    table.merge(fresh, [F.col(c).desc_nulls_last() for c in age])
 
 
 def stream_into(table: KeyedTable, pages: DataFrame, checkpoint: str) -> StreamingQuery:
