@@ -104,9 +104,12 @@ def measures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ho
     )
 
 
-def frequent_lines(measured: DataFrame, most_docs: int, most_share: float) -> DataFrame:
+def frequent_lines(measured: DataFrame, most_docs: int, most_share: float, fewest: int | None = None) -> DataFrame:
     """(host, h): lines in more than ``most_docs`` documents and ``most_share`` of all documents of their host.
 
+    With ``fewest``, passing one of the two limits is enough for a line in more than so many
+    documents: the share judges small hosts and the number large ones.
+
     A document is counted once per line however often its id or the line occurs;
     a row without an id is a document of its own. Counting is by keys of (host,
     line, document) with map-side partial sums, so neither a host nor a line with
@@ -116,10 +119,14 @@ def frequent_lines(measured: DataFrame, most_docs: int, most_share: float) -> Da
     seen = measured.select(
         "host", *who, F.explode(F.array_distinct(F.transform("lines", lambda x: x["h"]))).alias("h")
     )
-    n_docs = seen.distinct().groupBy("host", "h").agg(F.count(F.lit(1)).alias("n_docs")).filter(F.col("n_docs") > most_docs)
+    least = most_docs if fewest is None else fewest
+    n_docs = seen.distinct().groupBy("host", "h").agg(F.count(F.lit(1)).alias("n_docs")).filter(F.col("n_docs") > least)
     sizes = measured.select("host", *who).distinct().groupBy("host").agg(F.count(F.lit(1)).alias("host_docs"))
     same = n_docs["host"].eqNullSafe(sizes["host"])
-    return n_docs.join(sizes, same).filter(F.col("n_docs") > most_share * F.col("host_docs")).select(n_docs["host"], "h")
+    over = F.col("n_docs") > most_share * F.col("host_docs")
+    if fewest is not None:
+        over = over | (F.col("n_docs") > most_docs)
+    return n_docs.join(sizes, same).filter(over).select(n_docs["host"], "h")
 
 
 def _lines_out(measured: DataFrame, frequent: DataFrame) -> DataFrame:
@@ -140,15 +147,18 @@ def drop_frequent_lines(
     id_col: str = "doc_id",
     text_col: str = "text",
     host_col: str = "source",
+    fewest: int | None = None,
 ) -> DataFrame:
     """``docs``, all columns, without the frequent lines of their host and without depleted rows.
 
-    A row is depleted if less than ``least_left`` of its words are left. The base
-    rules of ``line_quality`` are not applied. Rows join the hashes of their own
-    frequent lines by id, host and a hash of the text.
+    A row is depleted if less than ``least_left`` of its words are left. Limits are those of
+    ``frequent_lines``; the base rules of ``line_quality`` are not applied. Rows join the
+    hashes of their own frequent lines by id, host and a hash of the text. Null and empty
+    texts have no lines and stay as they are; a null host is a host of its own; repeated
+    rows are one document and go or stay together; an empty table gives no rows.
     """
     measured = cut_lineage(measures(docs, id_col, text_col, host_col))
-    out = _lines_out(measured, frequent_lines(measured, most_docs, most_share))
+    out = _lines_out(measured, frequent_lines(measured, most_docs, most_share, fewest))
     number, host, body, gone, enough = fresh(docs, "gone_id", "gone_host", "gone_body", "gone_lines", "enough_left")
     left = F.col("n_words") - F.col("n_boilerplate")
     marks = (
@@ -179,17 +189,18 @@ def line_quality(
     id_col: str = "doc_id",
     text_col: str = "text",
     host_col: str = "source",
+    fewest: int | None = None,
 ) -> DataFrame:
     """Base counts, base verdict and the verdict of line frequency for every row of ``docs``.
 
-    Lines that are too frequent in their host are taken out; a document of which
+    Lines that are too frequent in their host (see ``frequent_lines``) are taken out; a document of which
     less than ``least_left`` of the words is left is rejected, as is one that fails
     the base rules (fewer than 50 words, or more than half of them in repeated
     three-word windows). Null and empty texts have zero counts and fail. A null
     host is a host of its own. Repeated rows are judged alike, each for itself.
     """
     measured = cut_lineage(measures(docs, id_col, text_col, host_col))
-    frequent = frequent_lines(measured, most_docs, most_share)
+    frequent = frequent_lines(measured, most_docs, most_share, fewest)
     out = _lines_out(measured, frequent).select("row", "n_boilerplate")
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     left = F.col("n_words") - F.col("n_boilerplate")
@@ -211,8 +222,10 @@ def line_quality(
     )
 
 
-def line_quality_sql(most_docs: int = 50, most_share: float = 0.02, least_left: float = 0.5) -> str:
+def line_quality_sql(most_docs: int = 50, most_share: float = 0.02, least_left: float = 0.5, fewest: int | None = None) -> str:
     """The same verdicts for DuckDB, with whole lines and windows in place of hashes."""
+    share = f"{most_share} * docs"
+    limit = f"greatest({most_docs}, {share})" if fewest is None else f"greatest({fewest}, least({most_docs}, {share}))"
     blanks = r"[\x20\x09-\x0D]"
     return rf"""
 WITH given AS (
@@ -237,7 +250,7 @@ WITH given AS (
   SELECT host, count(DISTINCT coalesce('d' || doc_id, 'r' || row)) AS docs FROM given GROUP BY host
 ), frequent AS (
   SELECT lines.host, line FROM lines JOIN sizes ON lines.host IS NOT DISTINCT FROM sizes.host GROUP BY lines.host, line, docs
-  HAVING count(DISTINCT coalesce('d' || doc_id, 'r' || row)) > greatest({most_docs}, {most_share} * docs)
+  HAVING count(DISTINCT coalesce('d' || doc_id, 'r' || row)) > {limit}
 ), gone AS (
   SELECT row, sum(len(string_split(lines.line, ' '))) AS n
   FROM lines JOIN frequent ON lines.line = frequent.line AND lines.host IS NOT DISTINCT FROM frequent.host GROUP BY row

@@ -12,6 +12,8 @@ from tidemark.llm import anchors, bpe, bpe_stream, byte_dedup, fm_index, katz, l
 from tidemark.llm.common import fold, load
 
 RANK_FILE = "byte_bpe_multi_50k.tiktoken"
+#: A line in more than 50 documents of its host, or in more than 2 % of them but not in five or fewer.
+LINE_LIMITS = {"most_docs": 50, "most_share": 0.02, "fewest": 5}
 TOKENIZER_FILE = "byte_bpe_50k.json"
 
 
@@ -32,7 +34,7 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_rules.line_quality(load(spark, sf_dir, "documents"), most_docs=50, most_share=0.02)
+    return line_rules.line_quality(load(spark, sf_dir, "documents"), **LINE_LIMITS)
 
 
 def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -111,6 +113,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
-    "op4_line_rules": line_rules.line_quality_sql(50, 0.02),
+    "op4_line_rules": line_rules.line_quality_sql(**LINE_LIMITS),
     "op9_license_scan": licenses.scan_sql(),
 }
