@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import id_and_text
+from tidemark.session import cut_lineage
 
 #: Word characters: digits, letters and every byte of a character beyond ASCII; A-Z is lowered, the rest parts words.
 _TO_WORDS = bytes(
@@ -261,8 +262,12 @@ def mark_spans(marked: DataFrame, phrases: Phrases, keep_text: bool) -> DataFram
 
 
 def item_blocks(items: DataFrame, item_col: str, text_col: str, limit: int = BLOCK_BYTES) -> Iterator[list[tuple]]:
-    """The test items in blocks of about ``limit`` bytes, one at a time on the driver."""
+    """The test items in blocks of about ``limit`` bytes, one at a time on the driver.
+
+    Repeated items, which count once, are dropped first: their copies would share a block.
+    """
     named = items.select(F.col(item_col).cast("string").alias("item"), F.col(text_col).cast("string").alias("text"))
+    named = cut_lineage(named.distinct())
     size = named.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = 2 * size // limit + 1
     part = F.pmod(F.xxhash64("item", "text"), F.lit(blocks))
