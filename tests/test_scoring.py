@@ -193,3 +193,15 @@ def test_parsing_meets_the_rows_once(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert plan.count("SortMergeJoin") == 1 and plan.count("Exchange hashpartitioning") <= 2
 
+
+
+def test_a_worker_holds_one_batch_at_a_time(spark):
+    def held(_text, _rows):
+        with open("/proc/self/statm") as f:
+            return str(int(f.read().split()[1]) * 4096)
+
+    row = "array(named_struct('position', 1, 'uuid', 'u', 'goals_freeform', 'g', 'protocol', 'p', 'is_new', true))"
+    batches = spark.range(200).coalesce(1).selectExpr("id AS batch_id", f"{row} AS rows", "repeat('x', 3000000) AS text")
+    found = sc.run_scorer(batches, held).collect()
+    assert len(found) == 200
+    assert max(int(r.response) for r in found) < 500_000_000

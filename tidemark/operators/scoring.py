@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -120,23 +120,24 @@ def long_enough(least: int = LEAST_TOKENS) -> Column:
 def run_scorer(batches: DataFrame, scorer: Scorer) -> DataFrame:
     """Call the scorer once per batch: (batch_id, response, tokens, error).
 
-    A batch it fails on gets no response but the error's text.
+    A batch it fails on gets no response but the error's text. Batches are handed to Python
+    one by one, so a worker holds the texts of one of them, however many there are.
     """
 
-    def respond(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            found = []
-            for batch, text, rows in zip(frame["batch_id"], frame["text"], frame["rows"], strict=True):
-                try:
-                    answer = scorer(text, [r if isinstance(r, dict) else r.asDict() for r in rows])
-                    response, tokens = answer if isinstance(answer, tuple) else (answer, None)
-                    found.append((batch, response, tokens, None))
-                except Exception as error:  # noqa: BLE001 - any failure leaves the batch for the next run
-                    found.append((batch, None, None, f"{type(error).__name__}: {error}"))
-            made = pd.DataFrame(found, columns=["batch_id", "response", "tokens", "error"])
-            yield made.astype({"batch_id": "int64", "response": object, "tokens": "Int64", "error": object})
-
-    return batches.mapInPandas(respond, "batch_id bigint, response string, tokens bigint, error string")
+    def respond(frame: pd.DataFrame) -> pd.DataFrame:
+        found = []
+        for batch, text, rows in zip(frame["batch_id"], frame["text"], frame["rows"], strict=True):
+            try:
+                answer = scorer(text, [r if isinstance(r, dict) else r.asDict() for r in rows])
+                response, tokens = answer if isinstance(answer, tuple) else (answer, None)
+                found.append((batch, response, tokens, None))
+            except Exception as error:  # noqa: BLE001 - any failure leaves the batch for the next run
+                found.append((batch, None, None, f"{type(error).__name__}: {error}"))
+        made = pd.DataFrame(found, columns=["batch_id", "response", "tokens", "error"])
+        return made.astype({"batch_id": "int64", "response": object, "tokens": "Int64", "error": object})
+
+    schema = "batch_id bigint, response string, tokens bigint, error string"
+    return batches.groupBy("batch_id").applyInPandas(respond, schema)
 
 
 def _objects(text: Column) -> Column:
