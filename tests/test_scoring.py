@@ -202,6 +202,12 @@ def test_a_worker_holds_one_batch_at_a_time(spark):
 
     row = "array(named_struct('position', 1, 'uuid', 'u', 'goals_freeform', 'g', 'protocol', 'p', 'is_new', true))"
     batches = spark.range(200).coalesce(1).selectExpr("id AS batch_id", f"{row} AS rows", "repeat('x', 3000000) AS text")
-    found = sc.run_scorer(batches, held).collect()
+    # Where the session does not bound an Arrow batch by its bytes, the scorer's batches still come one by one.
+    bound = "spark.sql.execution.arrow.maxBytesPerBatch"
+    spark.conf.set(bound, str(2**31 - 1))
+    try:
+        found = sc.run_scorer(batches, held).collect()
+    finally:
+        spark.conf.unset(bound)
     assert len(found) == 200
     assert max(int(r.response) for r in found) < 500_000_000
