@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 from tests.helpers import day, rows, ts
 from tidemark.operators import subscriptions as su
 from tidemark.operators.intervals import calendar_days
+from tidemark.session import cut_lineage
 
 SUBS = (
     "uuid string, admin_user_id string, protocol string, subscription_sequence long, next_subscription_sequence long, "
@@ -207,3 +208,17 @@ def test_first_days_of_rows_without_a_user(spark):
     assert new == {(f"s{k}", 1) for k in range(90)}
     began = {r["uuid"] for r in found if r["paused_today"]}
     assert began == {r["uuid"] for r in found if r["is_paused"]}
+
+
+def test_rows_are_moved_and_sorted_with_few_columns(spark, capsys):
+    calendar = calendar_days(spark, day("2025-06-01"), day("2025-08-31"))
+    daily = state(spark, [sub("s1", "2025-07-01"), sub("s2", "2025-07-02", user="v")])
+    flags = su.day_over_day_flags(daily, spark.createDataFrame([], PAUSE_LOG), calendar)
+    periods = su.period_to_date(su.protocol_transitions(cut_lineage(su.active_flag(flags))))
+    assert periods.columns[:12] == daily.columns[:12] and len(periods.columns) == len(set(periods.columns))
+    for frame in (flags.filter("admin_user_id is not null"), periods):
+        frame.explain("formatted")
+        steps = [s for s in capsys.readouterr().out.split("\n\n") if ") Exchange\n" in s]
+        widths = [int(s.split("Input [")[1].split("]")[0]) for s in steps if "uuid#" in s]
+        assert len(frame.columns) > 50 and widths and min(widths) <= 16
+    assert max(widths) <= 30
