@@ -40,6 +40,28 @@ def test_byte_strings_of_common_anchors_and_many_contexts(frame, plain, monkeypa
     assert {len(b) for b in pieces.bodies} == {50}
 
 
+def test_anchors_are_dealt_evenly_over_buckets_and_rounds():
+    rnd = np.random.default_rng(3)
+    text = bytes(rnd.integers(97, 123, 60_000, dtype=np.uint8))
+    texts = byte_dedup.Texts(np.array([1, 2]), np.array([True, True]), [text, text], 50)
+    edges = byte_dedup.edges_by_range(texts.distinct, 48, 12)
+    assert np.diff(edges).max() < 1.5 * len(texts.distinct) / 12
+    answers = {b: [byte_dedup.pack(np.ones(n, np.int64))] for b, n in enumerate(np.diff(edges))}
+    turns = [byte_dedup.Pieces(texts, answers, 12, turn) for turn in range(byte_dedup.ROUNDS)]
+    whole = byte_dedup.Pieces(texts, answers, 12)
+    assert sorted(b for p in turns for b in p.bodies) == sorted(whole.bodies)
+    assert max(len(p.bodies) for p in turns) < 1.5 * len(whole.bodies) / byte_dedup.ROUNDS
+
+
+def test_contexts_do_not_depend_on_the_slices_they_are_found_in(monkeypatch):
+    rnd = np.random.default_rng(4)
+    text = np.concatenate([rnd.integers(97, 100, 4000, dtype=np.uint8), np.full(300, 97, np.uint8)])
+    ends = np.repeat([1500, 1510, len(text)], [1500, 10, len(text) - 1510])
+    whole = byte_dedup.contexts(text, ends, 50)
+    monkeypatch.setattr(byte_dedup, "_SLICE", 256)
+    assert [x.tolist() for x in byte_dedup.contexts(text, ends, 50)] == [x.tolist() for x in whole]
+
+
 def test_suffix_orders():
     draw = np.random.default_rng(1)
     strings = [draw.integers(1, 2 + k % 4, size=k % 37) for k in range(150)] + [np.tile([1, 2], 40), np.full(50, 3)]
